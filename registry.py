@@ -1,0 +1,388 @@
+"""Every query by name, over the payment tables derived from a folder of given Parquet tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegerType, TimestampType
+
+from tillwright import fixtures
+from tillwright.operators import cleaning, keys, quality, risk
+from tillwright.plans import pipeline, reports
+from tillwright.session import apply_settings, scratch_path
+from tillwright.sinks import database, files as file_sinks
+from tillwright.sources import catalog, files as file_sources
+from tillwright.streaming import ingest, messages, sources as message_sources
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+AS_OF = date(2024, 1, 31)
+COHORT_AS_OF = date(1996, 1, 1)
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """The types both engines have in common: bigint, double, zoneless timestamp."""
+    columns = []
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, DecimalType):
+            column = column.cast("double")
+        elif isinstance(field.dataType, IntegerType):
+            column = column.cast("bigint")
+        elif isinstance(field.dataType, TimestampType):
+            column = column.cast("timestamp_ntz")
+        columns.append(column.alias(field.name))
+    return df.select(columns)
+
+
+def over_clean(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, folder: report(fixtures.clean_tables(spark, folder))
+
+
+def over_raw(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, folder: report(fixtures.raw_tables(spark, folder))
+
+
+# Cleaning and reports.
+
+def _cleaners() -> dict[str, Query]:
+    def cleaned(name: str) -> Query:
+        return over_clean(lambda tables: tables[name])
+
+    named = {f"clean_{name}": cleaned(name) for name in cleaning.CLEANERS}
+    named["conform_defaults"] = over_clean(
+        lambda t: cleaning.conform_defaults(
+            "transactions",
+            t["transactions"].drop("currency", "transaction_timestamp"),
+            datetime(2024, 1, 31),
+        )
+    )
+    return named
+
+
+def _reports() -> dict[str, Query]:
+    def dated(report) -> Query:
+        return over_clean(lambda tables: report(tables, AS_OF))
+
+    named = {name: dated(report) for name, report in pipeline.DATED_REPORTS.items()}
+    named |= {name: over_clean(report) for name, report in pipeline.REPORTS.items()}
+    named["cohort_retention"] = lambda spark, folder: reports.cohort_retention(
+        {"transactions": fixtures.long_range_transactions(spark, folder)}, COHORT_AS_OF
+    )
+    return named
+
+
+def _risk() -> dict[str, Query]:
+    return {
+        "fraud_patterns": over_clean(lambda t: risk.fraud_patterns(t["transactions"])),
+        "suspicious_transactions": over_clean(
+            lambda t: risk.suspicious_transactions(t["transactions"])
+        ),
+        "suspicious_count": over_clean(lambda t: risk.suspicious_count(t["transactions"])),
+    }
+
+
+# Data quality. Raw tables keep the defects that cleaning would repair.
+
+def _quality() -> dict[str, Query]:
+    def nulls(t):
+        return quality.combine([
+            quality.check_nulls(t["customers"], "customers", ("customer_id", "phone_number")),
+            quality.check_nulls(
+                t["payment_methods"], "payment_methods", ("payment_type", "card_brand")
+            ),
+            quality.check_nulls(t["transactions"], "transactions", ("amount", "processed_timestamp")),
+        ])
+
+    def duplicates(t):
+        return quality.combine([
+            quality.check_duplicates(t["merchants"], "merchants", ("merchant_id", "merchant_email")),
+            quality.check_duplicates(t["customers"], "customers", ("customer_email", "phone_number")),
+            quality.check_duplicates(
+                t["transactions"], "transactions", ("transaction_uuid", "customer_id")
+            ),
+        ])
+
+    def types(t):
+        expected = {
+            "transaction_id": "bigint", "amount": "decimal",
+            "transaction_timestamp": "timestamp", "metadata": "struct",
+        }
+        return quality.check_data_types(t["transactions"], "transactions", expected)
+
+    def ranges(t):
+        return quality.combine([
+            quality.check_value_ranges(t[name], name, limits)
+            for name, limits in quality.VALUE_RANGES.items()
+        ])
+
+    def referential(t):
+        return quality.combine([
+            quality.check_referential_integrity(
+                t[child], t[parent], child_key, parent_key, f"{child} -> {parent}"
+            )
+            for child, child_key, parent, parent_key in quality.REFERENCES
+        ])
+
+    def gates(spark, folder):
+        raw, clean = fixtures.raw_tables(spark, folder), fixtures.clean_tables(spark, folder)
+        suite = quality.Suite(required={
+            "customers": ("customer_id", "phone_number"),
+            "transactions": ("amount", "processed_timestamp"),
+        })
+        tables = {"customers": raw["customers"], "transactions": clean["transactions"]}
+        return quality.config_gates(tables, suite)
+
+    return {
+        "dq_nulls": over_raw(nulls),
+        "dq_duplicates": over_raw(duplicates),
+        "dq_types": over_raw(types),
+        "dq_ranges": over_raw(ranges),
+        "dq_referential": over_raw(referential),
+        "dq_orphan_merchants": over_clean(
+            lambda t: keys.orphan_keys(t["transactions"], "merchant_id", t["merchants"], "merchant_id")
+        ),
+        "dq_nonpositive_amount": over_raw(
+            lambda t: quality.tally(t["transactions"], "transactions", [quality.nonpositive_amount()])
+        ),
+        "dq_excess_refund": over_clean(quality.check_excess_refunds),
+        "dq_future_timestamp": over_clean(
+            lambda t: quality.tally(
+                t["transactions"], "transactions", [quality.future_timestamp(date(2024, 1, 25))]
+            )
+        ),
+        "dq_invalid_risk": over_raw(
+            lambda t: quality.tally(t["customers"], "customers", [quality.invalid_risk()])
+        ),
+        "dq_success_unprocessed": over_clean(
+            lambda t: quality.tally(t["transactions"], "transactions", [quality.success_unprocessed()])
+        ),
+        "anomaly_high_amount": over_clean(
+            lambda t: quality.high_amounts(t["transactions"]).select(
+                "transaction_id", "customer_id", "amount"
+            )
+        ),
+        "anomaly_failed_customers": over_clean(
+            lambda t: quality.failed_customers(t["transactions"])
+        ),
+        "anomaly_odd_hours": over_clean(
+            lambda t: quality.odd_hour_transactions(t["transactions"]).select(
+                "transaction_id", "customer_id", "transaction_timestamp"
+            )
+        ),
+        "dq_report": over_clean(lambda t: quality.check(t, AS_OF)),
+        "dq_is_valid": over_clean(lambda t: quality.verdict(quality.check(t, AS_OF))),
+        "dq_config_gates": gates,
+    }
+
+
+# Sources and sinks: write to the shared folder, read back.
+
+def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "raw")
+    raw = fixtures.raw_tables(spark, folder)["transactions"]
+    raw.write.options(header=True, quote='"', escape='"').option(
+        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
+        f"{path}/transactions.csv"
+    )
+    rows = file_sources.read_csv_tables(spark, path, ("transactions",))["transactions"]
+    return rows.withColumns({
+        name: F.col(name).cast("timestamp")
+        for name in ("transaction_timestamp", "processed_timestamp")
+    })
+
+
+def csv_sink(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "processed")
+    cleaned = fixtures.clean_tables(spark, folder)["transactions"]
+    file_sinks.write_csv_tables({"transactions": cleaned}, path)
+    return file_sources.read_csv_tables(spark, path, ("transactions",), processed=True)["transactions"]
+
+
+def monthly_partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "months")
+    cleaned = fixtures.clean_tables(spark, folder)["transactions"]
+    file_sinks.write_months(cleaned.drop(*database.DERIVED_TRANSACTION_COLUMNS), path)
+    return file_sources.read_months(spark, path, since=date(2024, 1, 10))
+
+
+def dated_backup(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "backups")
+    refunds = fixtures.clean_tables(spark, folder)["refunds"]
+    file_sinks.write_backup({"refunds": refunds}, path, AS_OF)
+    return spark.read.parquet(f"{path}/backup_date={AS_OF}/refunds")
+
+
+def load_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The ordered load with a file writer in place of a database; rows per table as loaded."""
+    path = scratch_path(spark, "load")
+    loaded = database.load_tables(
+        fixtures.clean_tables(spark, folder),
+        lambda name, df: df.write.parquet(f"{path}/{name}"),
+    )
+    counts = [
+        spark.read.parquet(f"{path}/{name}").agg(
+            F.lit(name).alias("table_name"),
+            F.lit(place).cast("bigint").alias("position"),
+            F.count("*").alias("row_count"),
+        )
+        for place, name in enumerate(loaded, 1)
+    ]
+    return quality.combine(counts)
+
+
+def sql_query_scan(spark: SparkSession, folder: str) -> DataFrame:
+    catalog.publish({"transactions": fixtures.clean_tables(spark, folder)["transactions"]})
+    return catalog.run_sql(
+        spark,
+        """SELECT to_date(transaction_timestamp) AS date, count(*) AS total_transactions,
+                  sum(CASE WHEN transaction_status = 'success' THEN amount ELSE 0 END) AS revenue
+           FROM transactions
+           WHERE transaction_timestamp >= CAST(:as_of AS DATE) - INTERVAL 7 DAY
+           GROUP BY 1 ORDER BY 1 DESC""",
+        as_of=str(AS_OF),
+    )
+
+
+def gateway_literals(spark: SparkSession, folder: str) -> DataFrame:
+    tables = fixtures.clean_tables(spark, folder)
+    per_gateway = tables["transactions"].groupBy("gateway_id").agg(
+        F.count("transaction_id").alias("transaction_count")
+    )
+    return (
+        tables["payment_gateways"]
+        .drop("created_at")
+        .join(per_gateway, "gateway_id", "left")
+        .fillna(0, subset=["transaction_count"])
+    )
+
+
+def table_views(spark: SparkSession, folder: str) -> DataFrame:
+    catalog.publish(fixtures.clean_tables(spark, folder))
+    return catalog.run_sql(
+        spark,
+        """SELECT transaction_date, count(*) AS merchants, sum(total_transactions) AS transactions,
+                  sum(total_revenue) AS revenue,
+                  (SELECT count(*) FROM high_risk_customers) AS high_risk_customers
+           FROM daily_transaction_summary GROUP BY transaction_date ORDER BY transaction_date""",
+    )
+
+
+# Streaming.
+
+STREAM_COLUMNS = (
+    "transaction_uuid", "merchant_id", "customer_id", "payment_method_id", "gateway_id", "amount",
+    "currency", "transaction_status", "payment_type", "transaction_timestamp", "metadata",
+    "is_test_transaction",
+)
+
+
+def _to_send(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = fixtures.clean_tables(spark, folder)["transactions"]
+    return cleaning.conform_defaults("transactions", cleaned, datetime(2024, 1, 31))
+
+
+def _with_redelivery(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of all transactions, those of failed ones delivered twice."""
+    rows = _to_send(spark, folder)
+    again = rows.where("transaction_status = 'failed'")
+    return messages.encode(rows.unionAll(again))
+
+
+def _decoded(encoded: DataFrame) -> DataFrame:
+    return messages.decode(messages.parse(encoded), datetime(2024, 1, 31))
+
+
+def decode_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    return _decoded(messages.encode(_to_send(spark, folder))).select(*STREAM_COLUMNS)
+
+
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    received = _decoded(_with_redelivery(spark, folder))
+    return messages.first_deliveries(received).select(*STREAM_COLUMNS)
+
+
+def stream_fraud_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    received = _decoded(messages.encode(_to_send(spark, folder)))
+    return messages.high_value_alerts(received).drop("created_at")
+
+
+def stream_alert_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _to_send(spark, folder)
+    alerts = messages.high_value_alerts(_decoded(messages.encode(stored)))
+    return messages.with_stored_ids(alerts, stored).select(
+        "transaction_id", "transaction_uuid", "alert_type"
+    )
+
+
+def stream_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """The published key, and fields of the published JSON."""
+    return messages.encode(_to_send(spark, folder)).select(
+        "key",
+        F.get_json_object("value", "$.transaction_id").alias("transaction_uuid"),
+        F.get_json_object("value", "$.amount").cast("decimal(15,2)").alias("amount"),
+        F.get_json_object("value", "$.metadata").alias("metadata"),
+    )
+
+
+def stream_probe(spark: SparkSession, folder: str) -> DataFrame:
+    return message_sources.probe(messages.encode(_to_send(spark, folder)))
+
+
+def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
+    """Run the stream to its end: redelivered messages, and event texts that are no transactions."""
+    root = scratch_path(spark, "stream")
+    valid = _with_redelivery(spark, folder).select("value")
+    other = spark.read.parquet(f"{folder}/events.parquet").where("event_type = 'error'")
+    valid.unionAll(other.select(F.col("props").alias("value"))).write.text(f"{root}/inbox")
+    store = ingest.FileStore(spark, f"{root}/store")
+    stream = message_sources.file_stream(spark, f"{root}/inbox", max_files=2)
+    ingest.start_ingest(
+        stream, store, f"{root}/checkpoint", available_now=True,
+        now=lambda: datetime(2024, 1, 31),
+    ).awaitTermination()
+    return store
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    store = _ingested(spark, folder)
+    alerted = spark.read.parquet(store.alerts).select(
+        "transaction_uuid", F.lit(True).alias("has_alert")
+    )
+    return (
+        store.stored(None)
+        .select(*STREAM_COLUMNS)
+        .join(alerted, "transaction_uuid", "left")
+        .fillna(False, subset=["has_alert"])
+    )
+
+
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    store = _ingested(spark, folder)
+    return spark.read.parquet(store.quarantine).groupBy("value").agg(
+        F.count("*").alias("messages")
+    )
+
+
+FUNCTIONS = (
+    csv_scan, csv_sink, monthly_partitioned_sink, dated_backup, load_order, sql_query_scan,
+    gateway_literals, table_views, decode_transactions, stream_dedup, stream_fraud_alerts,
+    stream_alert_lookup, stream_publish, stream_probe, stream_ingest, stream_quarantine,
+)
+
+
+def queries() -> dict[str, Query]:
+    named = {**_cleaners(), **_reports(), **_risk(), **_quality()}
+    named |= {function.__name__: function for function in FUNCTIONS}
+
+    def registered(query: Query) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return comparable(query(apply_settings(spark), folder))
+
+        return run
+
+    return {name: registered(query) for name, query in named.items()}

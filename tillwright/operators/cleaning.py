@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import rules
-from ..schemas import COLUMN_DEFAULTS, SCHEMAS
+from ..schemas import COLUMN_DEFAULTS, schema
 
 
 def clean_merchants(merchants: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def conform_defaults(table: str, rows: DataFrame, now: datetime) -> DataFrame:
     """Give rows the table's columns: an absent column gets its default, a present null stays null."""
     defaults = COLUMN_DEFAULTS.get(table, {})
     columns = []
-    for field in SCHEMAS[table]:
+    for field in schema(table):
         if field.name in rows.columns:
             value = F.col(field.name)
         else:

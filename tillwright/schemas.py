@@ -5,6 +5,8 @@ Ids are bigint: at the size this runs at, a 32-bit id overflows.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql.types import StructType
 
 # Table names, column names, column types and defaults of the data model.
@@ -74,20 +76,23 @@ DERIVED_TRANSACTION_COLUMNS = (
 )
 # End of fixed values.
 
-SCHEMAS = {name: StructType.fromDDL(ddl) for name, ddl in TABLE_DDL.items()}
+# Columns that only cleaned transactions carry.
+DERIVED_DDL = """
+    transaction_hour INT, transaction_day_of_week INT, transaction_month INT,
+    processing_time_seconds DOUBLE"""
 
-# Columns that only cleaned files carry.
-DERIVED_SCHEMA = StructType.fromDDL(
-    "transaction_hour INT, transaction_day_of_week INT, transaction_month INT,"
-    " processing_time_seconds DOUBLE"
-)
+
+@cache
+def schema(table: str) -> StructType:
+    """A table's schema; parsing it needs a running session."""
+    return StructType.fromDDL(TABLE_DDL[table])
 
 
 def column_type(table: str, column: str, default: str = "string") -> str:
     """Spark type text of a column, or `default` when the model does not know it."""
-    known = list(SCHEMAS[table])
+    known = list(schema(table))
     if table == "transactions":
-        known += list(DERIVED_SCHEMA)
+        known += list(StructType.fromDDL(DERIVED_DDL))
     for field in known:
         if field.name == column:
             return field.dataType.simpleString()

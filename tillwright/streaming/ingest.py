@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..schemas import SCHEMAS
+from ..schemas import schema
 from . import messages as M
 
 DAY = "transaction_date"
@@ -19,9 +19,11 @@ DAY = "transaction_date"
 # More event days than this in one micro-batch are not named one by one; the store is read whole.
 MAX_NAMED_DAYS = 400
 
-STORED_TRANSACTION = StructType(
-    [f for f in SCHEMAS["transactions"] if f.name != "transaction_id"]
-).add(DAY, "date").add("batch_id", "bigint")
+
+def stored_schema() -> StructType:
+    """Transactions as stored: keyed by uuid, with the two partition columns."""
+    fields = [f for f in schema("transactions") if f.name != "transaction_id"]
+    return StructType(fields).add(DAY, "date").add("batch_id", "long")
 
 
 class FileStore:
@@ -55,7 +57,7 @@ class FileStore:
     def stored(self, days: list[str] | None) -> DataFrame | None:
         """Stored transactions, opening only the named event days; None when there are none."""
         path = self.transactions if days is None else f"{self.transactions}/{DAY}={_any_of(days)}"
-        reader = self.spark.read.schema(STORED_TRANSACTION).option("basePath", self.transactions)
+        reader = self.spark.read.schema(stored_schema()).option("basePath", self.transactions)
         try:
             return reader.parquet(path)
         except AnalysisException as error:
