@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +38,11 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(columns)
 
 
-def over_clean(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def over_clean(report: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: report(fixtures.clean_tables(spark, folder))
 
 
-def over_raw(report: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def over_raw(report: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: report(fixtures.raw_tables(spark, folder))
 
 

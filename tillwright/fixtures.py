@@ -6,206 +6,232 @@ Everything is a lazy projection of the given files, so work grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from datetime import datetime
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from .operators.cleaning import clean_all
+from .operators.cleaning import CLEANERS
 from .sources.catalog import payment_gateways
 
 LOADED_AT = datetime(2024, 1, 1)
-PAYMENT_TYPES = ("credit_card", "debit_card", "wallet", "upi", "net_banking")
 
+# Columns of the given files that are used; naming them saves a look into every file.
+GIVEN_COLUMNS = {
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+                 value DOUBLE, props STRING""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+                 o_orderdate TIMESTAMP_NTZ""",
+}
 
-def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
 
+def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(GIVEN_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    """The value at a 0-based index; beyond the end the last one."""
-    listed = F.array(*[F.lit(v) for v in values])
-    return F.element_at(listed, F.least(index, F.lit(len(values) - 1)).cast("int") + 1)
+
+def pick(index: str, *values: str) -> str:
+    """SQL for the value at a 0-based index; beyond the end the last one."""
+    cases = " ".join(f"WHEN {i} THEN '{value}'" for i, value in enumerate(values[:-1]))
+    return f"CASE {index} {cases} ELSE '{values[-1]}' END"
+
+
+def payment_type(index: str) -> str:
+    return pick(index, "credit_card", "debit_card", "wallet", "upi", "net_banking")
 
 
 def merchants_raw(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers, nations = _read(spark, folder, "supplier"), _read(spark, folder, "nation")
-    key = F.col("s_suppkey")
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        key.alias("merchant_id"),
-        F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("merchant_name"),
-        F.concat(F.lit("Sales"), key.cast("string"), F.lit("@Example.org")).alias("merchant_email"),
-        _pick(
-            key % 6, ("Electronics", "Fashion", "Food", "Services", "Books", "Entertainment")
-        ).alias("business_type"),
-        F.col("n_name").alias("country"),
-        _pick(key % 5, ("USD", "EUR", "GBP", "INR", "CAD")).alias("currency"),
-        (F.col("s_acctbal") / 800).cast("decimal(5,2)").alias("commission_rate"),
-        (key % 4 != 0).alias("is_verified"),
-        F.lit("2022-06-01 00:00:00").cast("timestamp").alias("created_at"),
+    suppliers, nations = given(spark, folder, "supplier"), given(spark, folder, "nation")
+    business = pick(
+        "s_suppkey % 6", "Electronics", "Fashion", "Food", "Services", "Books", "Entertainment"
+    )
+    currency = pick("s_suppkey % 5", "USD", "EUR", "GBP", "INR", "CAD")
+    return suppliers.join(nations, suppliers["s_nationkey"] == nations["n_nationkey"]).selectExpr(
+        "s_suppkey AS merchant_id",
+        "concat('  ', s_name, ' ') AS merchant_name",
+        "concat('Sales', CAST(s_suppkey AS STRING), '@Example.org') AS merchant_email",
+        f"{business} AS business_type",
+        "n_name AS country",
+        f"{currency} AS currency",
+        "CAST(s_acctbal / 800 AS DECIMAL(5,2)) AS commission_rate",
+        "s_suppkey % 4 <> 0 AS is_verified",
+        "TIMESTAMP '2022-06-01 00:00:00' AS created_at",
     )
 
 
 def customers_raw(spark: SparkSession, folder: str) -> DataFrame:
-    customers, nations = _read(spark, folder, "customer"), _read(spark, folder, "nation")
-    key = F.col("c_custkey")
-    score = (key * 37) % 121 - 10
-    phone = F.concat(F.lit("+1-555-"), (key + 10000).cast("string"))
-    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("customer_id"),
-        F.concat(F.lit(" Cust"), key.cast("string"), F.lit("@Example.org ")).alias("customer_email"),
-        F.concat("c_name", F.lit(" ")).alias("customer_name"),
-        F.when(key % 7 != 0, phone).alias("phone_number"),
-        F.col("n_name").alias("country"),
-        F.lit("2021-01-01").cast("date").alias("customer_since"),
-        score.cast("int").alias("risk_score"),
-        (score > 85).alias("is_blocked"),
-        F.lit("2021-01-01 00:00:00").cast("timestamp").alias("created_at"),
+    customers, nations = given(spark, folder, "customer"), given(spark, folder, "nation")
+    return customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"]).selectExpr(
+        "c_custkey AS customer_id",
+        "concat(' Cust', CAST(c_custkey AS STRING), '@Example.org ') AS customer_email",
+        "concat(c_name, ' ') AS customer_name",
+        """CASE WHEN c_custkey % 7 <> 0
+                THEN concat('+1-555-', CAST(10000 + c_custkey AS STRING)) END AS phone_number""",
+        "n_name AS country",
+        "DATE '2021-01-01' AS customer_since",
+        "CAST((c_custkey * 37) % 121 - 10 AS INT) AS risk_score",
+        "(c_custkey * 37) % 121 - 10 > 85 AS is_blocked",
+        "TIMESTAMP '2021-01-01 00:00:00' AS created_at",
     )
 
 
 def payment_methods_raw(spark: SparkSession, folder: str) -> DataFrame:
-    key, i = F.col("c_custkey"), F.col("i")
-    kind = (key + i) % 5
-    is_card = kind < 2
-    numbered = _read(spark, folder, "customer").select(
-        key, F.explode(F.sequence(F.lit(0).cast("bigint"), key % 3)).alias("i")
+    numbered = given(spark, folder, "customer").selectExpr(
+        "c_custkey", "explode(sequence(0L, c_custkey % 3)) AS i"
     )
-    return numbered.select(
-        (key * 3 + i).alias("payment_method_id"),
-        key.alias("customer_id"),
-        _pick(kind, PAYMENT_TYPES).alias("payment_type"),
-        F.when(is_card, (key % 9000 + 1000).cast("string")).alias("card_last_4"),
-        F.when(is_card, _pick(key % 3, ("Visa", "Mastercard", "RuPay"))).alias("card_brand"),
-        (i == 0).alias("is_default"),
-        ((key + i) % 4 != 0).alias("is_active"),
-        F.lit("2022-01-01 00:00:00").cast("timestamp").alias("created_at"),
+    brand = pick("c_custkey % 3", "Visa", "Mastercard", "RuPay")
+    is_card = "(c_custkey + i) % 5 < 2"
+    return numbered.selectExpr(
+        "c_custkey * 3 + i AS payment_method_id",
+        "c_custkey AS customer_id",
+        f"{payment_type('(c_custkey + i) % 5')} AS payment_type",
+        f"CASE WHEN {is_card} THEN CAST(1000 + c_custkey % 9000 AS STRING) END AS card_last_4",
+        f"CASE WHEN {is_card} THEN {brand} END AS card_brand",
+        "i = 0 AS is_default",
+        "(c_custkey + i) % 4 <> 0 AS is_active",
+        "TIMESTAMP '2022-01-01 00:00:00' AS created_at",
     )
 
 
 def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
     """One charge per event; every fiftieth event is charged again 30 seconds later."""
-    event, user, b = F.col("event_id"), F.col("user_id"), F.col("b")
-    merchants = _read(spark, folder, "supplier").agg(F.count("*")).scalar()
-    charges = F.when(event % 50 == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    kind = F.col("event_type")
-    status = (
-        F.when(kind.isin("purchase", "view"), " Success")
-        .when((kind == "click") & (event % 5 == 0), "REFUNDED ")
-        .when((kind == "signup") & (event % 3 == 0), "pending")
-        .when(kind.isin("click", "signup"), "success")
-        .otherwise("Failed")
+    given(spark, folder, "supplier").createOrReplaceTempView("given_suppliers")
+    is_pending = "(event_type = 'signup' AND event_id % 3 = 0)"
+    charged = given(spark, folder, "events").selectExpr(
+        "*",
+        "explode(CASE WHEN event_id % 50 = 1 THEN array(0, 1) ELSE array(0) END) AS b",
+        "CAST(ts AS TIMESTAMP) AS at",
     )
-    is_pending = (kind == "signup") & (event % 3 == 0)
-    at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + b * 30_000_000)
-    done = F.timestamp_micros(F.unix_micros(at) + (event % 30 + 1) * 1_000_000)
-    price = F.round(F.col("value") * 10, 2).cast("decimal(15,2)")
-    return (
-        _read(spark, folder, "events")
-        .withColumn("b", F.explode(charges))
-        .select(
-            F.when(b == 0, event).otherwise(event + 1_000_000_000).alias("transaction_id"),
-            F.concat(
-                F.lit("tx-"), event.cast("string"), F.lit("-"), b.cast("string")
-            ).alias("transaction_uuid"),
-            F.when(event % 499 == 0, F.lit(-1).cast("bigint"))
-            .otherwise((event * 7 + user) % merchants)
-            .alias("merchant_id"),
-            F.when(event % 3 == 0, user).otherwise(user * 10 + event % 10).alias("customer_id"),
-            (event % 4 + 1).cast("int").alias("gateway_id"),
-            F.when(event % 97 == 0, -price).otherwise(price).cast("decimal(15,2)").alias("amount"),
-            F.lit("USD").alias("currency"),
-            status.alias("transaction_status"),
-            _pick(event % 5, PAYMENT_TYPES).alias("payment_type"),
-            at.alias("transaction_timestamp"),
-            F.when((event % 211 != 0) & ~is_pending, done).alias("processed_timestamp"),
-            F.col("props").alias("metadata"),
-        )
+    return charged.selectExpr(
+        "CASE WHEN b = 0 THEN event_id ELSE 1000000000 + event_id END AS transaction_id",
+        "concat('tx-', CAST(event_id AS STRING), '-', CAST(b AS STRING)) AS transaction_uuid",
+        """CASE WHEN event_id % 499 = 0 THEN -1L
+                ELSE (event_id * 7 + user_id) % (SELECT count(*) FROM given_suppliers)
+           END AS merchant_id""",
+        """CASE WHEN event_id % 3 = 0 THEN user_id
+                ELSE user_id * 10 + event_id % 10 END AS customer_id""",
+        "CAST(1 + event_id % 4 AS INT) AS gateway_id",
+        """CAST(CASE WHEN event_id % 97 = 0 THEN -1 ELSE 1 END
+                * CAST(round(value * 10, 2) AS DECIMAL(15,2)) AS DECIMAL(15,2)) AS amount""",
+        "'USD' AS currency",
+        f"""CASE WHEN event_type IN ('purchase', 'view') THEN ' Success'
+                 WHEN event_type = 'click' AND event_id % 5 = 0 THEN 'REFUNDED '
+                 WHEN {is_pending} THEN 'pending'
+                 WHEN event_type IN ('click', 'signup') THEN 'success'
+                 ELSE 'Failed' END AS transaction_status""",
+        f"{payment_type('event_id % 5')} AS payment_type",
+        "at + b * INTERVAL '30' SECOND AS transaction_timestamp",
+        f"""CASE WHEN event_id % 211 = 0 OR {is_pending} THEN NULL
+                 ELSE at + (b * 30 + 1 + event_id % 30) * INTERVAL '1' SECOND
+            END AS processed_timestamp""",
+        "props AS metadata",
     )
 
 
 def fraud_alerts_raw(spark: SparkSession, folder: str) -> DataFrame:
-    tx = F.col("transaction_id")
-    numbers = F.when(tx % 40 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    hours = F.make_dt_interval(F.lit(0), (tx % 48 + 1).cast("int"))
-    settled = tx % 7 < 4
-    return (
-        transactions_raw(spark, folder)
-        .where(tx % 20 == 3)
-        .select("transaction_id", "transaction_timestamp", F.explode(numbers).alias("j"))
-        .select(
-            (tx * 2 + F.col("j")).alias("alert_id"),
-            "transaction_id",
-            _pick(
-                tx % 3,
-                ("Unusual spending pattern", "Velocity check failed", "Geographic anomaly"),
-            ).alias("alert_type"),
-            _pick(
-                F.floor(tx / 20).cast("bigint") % 4, ("LOW", "Medium", "high", "critical")
-            ).alias("risk_level"),
-            settled.alias("is_resolved"),
-            F.when(tx % 7 < 3, F.lit("analyst")).alias("resolved_by"),
-            F.col("transaction_timestamp").alias("created_at"),
-            F.when(settled, F.col("transaction_timestamp") + hours).alias("resolved_at"),
-        )
+    kind = pick(
+        "transaction_id % 3",
+        "Unusual spending pattern", "Velocity check failed", "Geographic anomaly",
+    )
+    level = pick(
+        "CAST(floor(transaction_id / 20) AS BIGINT) % 4", "LOW", "Medium", "high", "critical"
+    )
+    numbered = transactions_raw(spark, folder).where("transaction_id % 20 = 3").selectExpr(
+        "transaction_id",
+        "transaction_timestamp",
+        "explode(CASE WHEN transaction_id % 40 = 3 THEN array(0, 1) ELSE array(0) END) AS j",
+    )
+    return numbered.selectExpr(
+        "transaction_id * 2 + j AS alert_id",
+        "transaction_id",
+        f"{kind} AS alert_type",
+        f"{level} AS risk_level",
+        "transaction_id % 7 < 4 AS is_resolved",
+        "CASE WHEN transaction_id % 7 < 3 THEN 'analyst' END AS resolved_by",
+        "transaction_timestamp AS created_at",
+        """CASE WHEN transaction_id % 7 < 4
+                THEN transaction_timestamp + (1 + transaction_id % 48) * INTERVAL '1' HOUR
+           END AS resolved_at""",
     )
 
 
 def refunds_raw(spark: SparkSession, folder: str) -> DataFrame:
-    tx, paid, at = F.col("transaction_id"), F.abs("amount"), F.col("transaction_timestamp")
-
-    def later(days: Column) -> Column:
-        return at + F.make_dt_interval(days.cast("int"))
-
-    returned = F.lower(F.trim("transaction_status")) == "refunded"
-    amount = F.when(tx % 50 == 0, paid * 3).when(tx % 7 == 0, -paid).otherwise(paid)
-    return (
-        transactions_raw(spark, folder)
-        .where(returned)
-        .select(
-            tx.alias("refund_id"),
-            "transaction_id",
-            amount.cast("decimal(15,2)").alias("refund_amount"),
-            _pick(
-                tx % 4,
-                (
-                    "Customer request", "Defective product", "Product not delivered",
-                    "Duplicate transaction",
-                ),
-            ).alias("refund_reason"),
-            _pick(tx % 3, ("Processed", "pending", "rejected")).alias("refund_status"),
-            later(tx % 13).alias("requested_at"),
-            later(tx % 17).alias("processed_at"),
-        )
+    reason = pick(
+        "transaction_id % 4",
+        "Customer request", "Defective product", "Product not delivered", "Duplicate transaction",
+    )
+    status = pick("transaction_id % 3", "Processed", "pending", "rejected")
+    returned = transactions_raw(spark, folder).where(
+        "lower(trim(transaction_status)) = 'refunded'"
+    )
+    return returned.selectExpr(
+        "transaction_id AS refund_id",
+        "transaction_id",
+        """CAST(CASE WHEN transaction_id % 50 = 0 THEN abs(amount) * 3
+                     WHEN transaction_id % 7 = 0 THEN -abs(amount)
+                     ELSE abs(amount) END AS DECIMAL(15,2)) AS refund_amount""",
+        f"{reason} AS refund_reason",
+        f"{status} AS refund_status",
+        "transaction_timestamp + (transaction_id % 13) * INTERVAL '1' DAY AS requested_at",
+        "transaction_timestamp + (transaction_id % 17) * INTERVAL '1' DAY AS processed_at",
     )
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {
-        "merchants": merchants_raw(spark, folder),
-        "customers": customers_raw(spark, folder),
-        "payment_methods": payment_methods_raw(spark, folder),
-        "transactions": transactions_raw(spark, folder),
-        "fraud_alerts": fraud_alerts_raw(spark, folder),
-        "refunds": refunds_raw(spark, folder),
-    }
+RAW_TABLES = {
+    "merchants": merchants_raw,
+    "customers": customers_raw,
+    "payment_methods": payment_methods_raw,
+    "transactions": transactions_raw,
+    "fraud_alerts": fraud_alerts_raw,
+    "refunds": refunds_raw,
+}
 
 
-def clean_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    tables = clean_all(raw_tables(spark, folder))
-    tables["payment_gateways"] = payment_gateways(spark, LOADED_AT)
-    return tables
+class LazyTables(Mapping):
+    """Tables that are planned when first asked for, since opening files takes time."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def raw_tables(spark: SparkSession, folder: str) -> LazyTables:
+    return LazyTables({name: partial(make, spark, folder) for name, make in RAW_TABLES.items()})
+
+
+def clean_tables(spark: SparkSession, folder: str) -> LazyTables:
+    makers = {
+        name: lambda name=name: CLEANERS[name](RAW_TABLES[name](spark, folder))
+        for name in RAW_TABLES
+    }
+    makers["payment_gateways"] = lambda: payment_gateways(spark, LOADED_AT)
+    return LazyTables(makers)
 
 
 def long_range_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as transactions: several years, for the cohort report."""
-    letter = F.col("o_orderstatus")
-    return _read(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("timestamp").alias("transaction_timestamp"),
-        F.when(letter == "F", "success").when(letter == "O", "failed").otherwise("pending").alias(
-            "transaction_status"
-        ),
-        F.col("o_totalprice").cast("decimal(15,2)").alias("amount"),
+    return given(spark, folder, "orders").selectExpr(
+        "o_orderkey AS transaction_id",
+        "o_custkey AS customer_id",
+        "CAST(o_orderdate AS TIMESTAMP) AS transaction_timestamp",
+        """CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'failed'
+                ELSE 'pending' END AS transaction_status""",
+        "CAST(o_totalprice AS DECIMAL(15,2)) AS amount",
     )

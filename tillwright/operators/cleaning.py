@@ -84,7 +84,7 @@ CLEANERS = {
 }
 
 
-def clean_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def clean_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Clean every table that has a cleaner; hand on the others."""
     return {name: CLEANERS[name](df) if name in CLEANERS else df for name, df in tables.items()}
 

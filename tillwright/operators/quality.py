@@ -68,21 +68,31 @@ class Tally:
     detail: str
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _report_line(
+    check: str, table: str, column: str, severity: str, count: str, detail: str
+) -> str:
+    """SQL for one check row; `count` is a column with its bad rows."""
+    return (
+        f"named_struct('check', {_text(check)}, 'table', {_text(table)}, "
+        f"'column', {_text(column)}, 'severity', {_text(severity)}, "
+        f"'bad_count', coalesce(CAST({count} AS BIGINT), 0L), 'detail', {_text(detail)})"
+    )
+
+
 def tally(df: DataFrame, table: str, tallies: list[Tally]) -> DataFrame:
     """All tallies of a table in one aggregation, one output row each."""
-    counts = df.agg(*[t.bad.cast("bigint").alias(f"n{i}") for i, t in enumerate(tallies)])
-    lines = [
-        F.struct(
-            F.lit(t.check).alias("check"),
-            F.lit(table).alias("table"),
-            F.lit(t.column).alias("column"),
-            F.lit(t.severity).alias("severity"),
-            F.coalesce(F.col(f"n{i}"), F.lit(0)).alias("bad_count"),
-            F.lit(t.detail).alias("detail"),
-        )
+    counts = df.agg(*[t.bad.alias(f"n{i}") for i, t in enumerate(tallies)])
+    lines = ", ".join(
+        _report_line(t.check, table, t.column, t.severity, f"n{i}", t.detail)
         for i, t in enumerate(tallies)
-    ]
-    return counts.select(F.inline(F.array(*lines)))
+    )
+    return counts.selectExpr(f"inline(array({lines}))")
 
 
 def combine(frames: Iterable[DataFrame]) -> DataFrame:
@@ -92,14 +102,8 @@ def combine(frames: Iterable[DataFrame]) -> DataFrame:
 def _line(counted: DataFrame, check, table, column, severity, detail) -> DataFrame:
     """A one-row, one-column count as a check row."""
     (count,) = counted.columns
-    return counted.select(
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table"),
-        F.lit(column).alias("column"),
-        F.lit(severity).alias("severity"),
-        F.coalesce(F.col(count), F.lit(0)).cast("bigint").alias("bad_count"),
-        F.lit(detail).alias("detail"),
-    )
+    line = _report_line(check, table, column, severity, f"`{count}`", detail)
+    return counted.selectExpr(f"inline(array({line}))")
 
 
 # Tallies of single-table checks.

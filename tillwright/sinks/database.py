@@ -31,7 +31,7 @@ def write_table(
 
 
 def load_tables(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     write: Callable[[str, DataFrame], None],
     order: tuple[str, ...] = LOAD_ORDER,
 ) -> list[str]:
@@ -48,7 +48,7 @@ def load_tables(
 
 
 def load_database(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     url: str,
     if_exists: str = "replace",
     properties: dict[str, str] | None = None,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 MONTH = "transaction_month_start"
 
 
-def write_csv_tables(tables: dict[str, DataFrame], folder: str) -> None:
+def write_csv_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Every table as `<table>_processed.csv`, quoted so that JSON text survives a read."""
     for name, table in tables.items():
         (
@@ -21,7 +21,7 @@ def write_csv_tables(tables: dict[str, DataFrame], folder: str) -> None:
         )
 
 
-def write_parquet_tables(tables: dict[str, DataFrame], folder: str) -> None:
+def write_parquet_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{folder}/{name}")
 
@@ -42,7 +42,7 @@ def write_months(transactions: DataFrame, path: str, mode: str = "overwrite") ->
     )
 
 
-def write_backup(tables: dict[str, DataFrame], folder: str, run_date: date) -> None:
+def write_backup(tables: Mapping[str, DataFrame], folder: str, run_date: date) -> None:
     """A gzip-compressed copy of every table under the run date; a rerun replaces its own date."""
     for name, table in tables.items():
         (

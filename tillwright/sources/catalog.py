@@ -23,7 +23,7 @@ def payment_gateways(spark: SparkSession, now: datetime) -> DataFrame:
     return conform_defaults("payment_gateways", listed, now)
 
 
-def publish(tables: dict[str, DataFrame]) -> None:
+def publish(tables: Mapping[str, DataFrame]) -> None:
     """Register every table, and the two summary views, for SQL users."""
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
