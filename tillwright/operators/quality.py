@@ -282,19 +282,19 @@ def odd_hour_transactions(transactions: DataFrame) -> DataFrame:
     return transactions.where(F.hour("transaction_timestamp").isin(*rules.NIGHT_HOURS))
 
 
-def check_anomalies(transactions: DataFrame) -> DataFrame:
-    rows = F.count("*").alias("n")
-    return combine([
-        _line(
-            high_amounts(transactions).agg(rows), "high_amount", "transactions", "amount", WARNING,
-            "amounts above the outlier threshold",
-        ),
-        _line(
-            failed_customers(transactions).agg(rows), "failed_customers", "transactions",
-            "customer_id", WARNING, "customers with many failures",
-        ),
-        tally(transactions, "transactions", [odd_hours()]),
-    ])
+def high_amount_tally(transactions: DataFrame) -> Tally:
+    above = F.col("amount").cast("double") > amount_threshold(transactions).scalar()
+    return Tally(
+        "high_amount", "amount", WARNING, F.count_if(above), "amounts above the outlier threshold"
+    )
+
+
+def check_failed_customers(transactions: DataFrame) -> DataFrame:
+    many = failed_customers(transactions).agg(F.count("*").alias("n"))
+    return _line(
+        many, "failed_customers", "transactions", "customer_id", WARNING,
+        "customers with many failures",
+    )
 
 
 # The suite.
@@ -311,6 +311,8 @@ def check(
     counted["transactions"] += [
         nonpositive_amount(), future_timestamp(as_of), success_unprocessed(),
     ]
+    if suite.detect_anomalies:
+        counted["transactions"] += [high_amount_tally(tables["transactions"]), odd_hours()]
     frames = [tally(tables[name], name, tallies) for name, tallies in counted.items()]
     frames += [check_duplicates(tables[name], name, cols) for name, cols in suite.unique.items()]
     for child, child_key, parent, parent_key in suite.references:
@@ -321,7 +323,7 @@ def check(
         )
     frames.append(check_excess_refunds(tables))
     if suite.detect_anomalies:
-        frames.append(check_anomalies(tables["transactions"]))
+        frames.append(check_failed_customers(tables["transactions"]))
     return combine(frames)
 
 

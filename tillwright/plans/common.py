@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
+from ..schemas import MONTH
 
 Tables = Mapping[str, DataFrame]
 
@@ -19,7 +20,12 @@ def since(rows: DataFrame, column: str, as_of: date, days: int) -> DataFrame:
 
 
 def recent(tables: Tables, as_of: date, days: int) -> DataFrame:
-    return since(tables["transactions"], "transaction_timestamp", as_of, days)
+    """Transactions of the last `days` days; a monthly store is asked for those months only."""
+    rows = since(tables["transactions"], "transaction_timestamp", as_of, days)
+    if MONTH in rows.columns:
+        first_month = F.trunc(X.midnight(as_of, days), "month")
+        rows = rows.where(F.col(MONTH) >= first_month)
+    return rows
 
 
 def day() -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality, risk
 from ..operators.cleaning import clean_all
-from ..sinks.files import MONTH, write_backup, write_months, write_parquet_tables
+from ..schemas import MONTH
+from ..sinks.files import write_backup, write_months, write_parquet_tables
 from ..sources.catalog import payment_gateways
 from ..sources.files import read_csv_tables, read_parquet_tables
 from . import insights, profiles, reports, summaries
@@ -69,7 +70,6 @@ def store_processed(cleaned: Tables, folder: str) -> None:
 
 def read_processed(spark: SparkSession, folder: str, as_of: date) -> Tables:
     tables = read_parquet_tables(spark, folder)
-    tables["transactions"] = tables["transactions"].drop(MONTH)
     tables["payment_gateways"] = payment_gateways(spark, as_of)
     return tables
 
@@ -78,7 +78,7 @@ def all_reports(tables: Tables, as_of: date) -> dict[str, DataFrame]:
     """Every report, unevaluated."""
     frames = {name: report(tables, as_of) for name, report in DATED_REPORTS.items()}
     frames |= {name: report(tables) for name, report in REPORTS.items()}
-    frames["fraud_patterns"] = risk.fraud_patterns(tables["transactions"])
+    frames["fraud_patterns"] = risk.fraud_patterns(tables["transactions"].drop(MONTH))
     return frames
 
 
@@ -121,5 +121,6 @@ def run_batch(
         paths[name] = f"{output_folder}/reports/{name}"
         frame.write.mode("overwrite").parquet(paths[name])
     if backup:
+        tables["transactions"] = tables["transactions"].drop(MONTH)
         write_backup(tables, f"{output_folder}/backups", as_of)
     return paths

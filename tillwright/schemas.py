@@ -76,6 +76,9 @@ DERIVED_TRANSACTION_COLUMNS = (
 )
 # End of fixed values.
 
+# Partition column of the monthly transaction store.
+MONTH = "transaction_month_start"
+
 # Columns that only cleaned transactions carry.
 DERIVED_DDL = """
     transaction_hour INT, transaction_day_of_week INT, transaction_month INT,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import LOAD_ORDER, column_type
+from ..schemas import LOAD_ORDER, MONTH, column_type
 
 # Times that a cleaner must parse itself, to tell a bad text from an empty one.
 RAW_TEXT_TYPES = ("timestamp", "date")
@@ -65,11 +65,11 @@ def read_months(
     other months from being listed and opened at all.
     """
     rows = spark.read.parquet(path)
-    month, at = F.col("transaction_month_start"), F.col("transaction_timestamp")
+    month, at = F.col(MONTH), F.col("transaction_timestamp")
     if since is not None:
         start = F.lit(str(since)).cast("date")
         rows = rows.where((month >= F.trunc(start, "month")) & (at >= start.cast("timestamp")))
     if before is not None:
         end = F.lit(str(before)).cast("date")
         rows = rows.where((month <= F.trunc(end, "month")) & (at < end.cast("timestamp")))
-    return rows.drop("transaction_month_start")
+    return rows.drop(MONTH)

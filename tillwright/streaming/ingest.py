@@ -19,6 +19,10 @@ DAY = "transaction_date"
 # More event days than this in one micro-batch are not named one by one; the store is read whole.
 MAX_NAMED_DAYS = 400
 
+# Uuids of a micro-batch up to this many rows (about 50 bytes each) are sent to every executor;
+# beyond it the stored uuids are shuffled to meet them.
+MAX_BROADCAST_ROWS = 1_000_000
+
 
 def stored_schema() -> StructType:
     """Transactions as stored: keyed by uuid, with the two partition columns."""
@@ -65,12 +69,21 @@ class FileStore:
                 return None
             raise
 
-    def unseen(self, rows: DataFrame, batch_id: int, days: list[str] | None) -> DataFrame:
-        """Rows whose uuid no earlier batch has stored."""
+    def unseen(
+        self, rows: DataFrame, batch_id: int, days: list[str] | None, row_count: int
+    ) -> DataFrame:
+        """Rows whose uuid no earlier batch has stored.
+
+        The store is far larger than a batch. While the batch is small enough to broadcast, stored
+        uuids are only scanned for its members and never shuffled.
+        """
         stored = self.stored(None if self.compare_all_days else days)
         if stored is None:
             return rows
         earlier = stored.where(F.col("batch_id") != batch_id).select("transaction_uuid")
+        if row_count <= MAX_BROADCAST_ROWS:
+            sent = F.broadcast(rows.select("transaction_uuid"))
+            earlier = earlier.join(sent, "transaction_uuid", "left_semi")
         return rows.join(earlier, "transaction_uuid", "left_anti")
 
 
@@ -78,10 +91,13 @@ def _any_of(days: list[str]) -> str:
     return "{" + ",".join(days) + "}"
 
 
-def event_days(rows: DataFrame) -> list[str] | None:
-    """The event days of a micro-batch; None when there are too many to name."""
-    found = rows.select(F.col(DAY).cast("string")).distinct().limit(MAX_NAMED_DAYS + 1).collect()
-    return None if len(found) > MAX_NAMED_DAYS else [row[0] for row in found]
+def event_days(rows: DataFrame) -> tuple[list[str] | None, int]:
+    """The event days of a micro-batch, None when there are too many to name, and its row count."""
+    per_day = rows.groupBy(F.col(DAY).cast("string").alias("day")).agg(F.count("*").alias("n"))
+    found = per_day.limit(MAX_NAMED_DAYS + 1).collect()
+    if len(found) > MAX_NAMED_DAYS:
+        return None, rows.count()
+    return [row["day"] for row in found], sum(row["n"] for row in found)
 
 
 def store_batch(store: FileStore, now: Callable[[], datetime]) -> Callable[[DataFrame, int], None]:
@@ -89,18 +105,22 @@ def store_batch(store: FileStore, now: Callable[[], datetime]) -> Callable[[Data
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = M.parse(batch).persist()
+        rows = (
+            M.first_deliveries(M.decode(parsed, now()))
+            .withColumn(DAY, F.to_date("transaction_timestamp"))
+            .persist()
+        )
         try:
             store.write(M.malformed(parsed), store.quarantine, batch_id)
-            rows = M.first_deliveries(M.decode(parsed, now())).withColumn(
-                DAY, F.to_date("transaction_timestamp")
-            )
-            days = event_days(rows)
-            fresh = store.unseen(rows, batch_id, days)
-            store.write(fresh, store.transactions, batch_id, (DAY,))
+            days, row_count = event_days(rows)
+            if row_count:
+                fresh = store.unseen(rows, batch_id, days, row_count)
+                store.write(fresh, store.transactions, batch_id, (DAY,))
         finally:
+            rows.unpersist()
             parsed.unpersist()
         # Alerts come from the stored rows, so both tables agree whatever happened in between.
-        written = store.stored(days)
+        written = store.stored(days) if row_count else None
         if written is not None:
             own = written.where(F.col("batch_id") == batch_id)
             store.write(M.high_value_alerts(own), store.alerts, batch_id)
