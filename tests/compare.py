@@ -62,3 +62,10 @@ def difference(df: DataFrame, connection, statement: str) -> str | None:
             if a != b or type(a) is not type(b):
                 return f"{name}: {a!r} against {b!r} in {row} / {other}"
     return None
+
+
+def plan_text(df: DataFrame) -> str:
+    """The physical plan, with nothing cut off."""
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended")
+    ).split("== Physical Plan ==")[1]

@@ -1,0 +1,96 @@
+from datetime import date
+
+import pytest
+
+from tillwright import fixtures
+from tillwright.operators import quality
+from tillwright.plans import pipeline, reports
+from tillwright.session import scratch_path, shared_folder
+from tillwright.sources import catalog
+
+AS_OF = date(2024, 1, 31)
+
+
+@pytest.fixture(scope="module")
+def raw_folder(spark, folder, tmp_path_factory):
+    """The raw tables as the CSV files a run starts from."""
+    path = str(tmp_path_factory.mktemp("raw"))
+    for name, table in fixtures.raw_tables(spark, folder).items():
+        (
+            table.write.options(header=True, quote='"', escape='"')
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{path}/{name}.csv")
+        )
+    return path
+
+
+def test_run_from_csv_equals_direct_reports(spark, folder, raw_folder, tmp_path):
+    paths = pipeline.run_batch(
+        spark, raw_folder, str(tmp_path), AS_OF, stop_on_errors=False, backup=True
+    )
+    direct = pipeline.all_reports(fixtures.clean_tables(spark, folder), AS_OF)
+    assert set(paths) == set(direct) | {"quality"}
+    for name in direct:
+        stored, frame = spark.read.parquet(paths[name]), direct[name]
+        assert stored.columns == frame.columns, name
+        assert stored.exceptAll(frame).count() == frame.exceptAll(stored).count() == 0, name
+    backup = spark.read.parquet(f"{tmp_path}/backups/backup_date=2024-01-31/transactions")
+    assert backup.count() == fixtures.clean_tables(spark, folder)["transactions"].count()
+
+
+def test_quality_gate_stops_the_run(spark, raw_folder, tmp_path):
+    with pytest.raises(pipeline.InvalidData, match="checks failed"):
+        pipeline.run_batch(spark, raw_folder, str(tmp_path), AS_OF)
+    report = spark.read.parquet(str(tmp_path / "quality"))
+    failing = {r["check"] for r in report.where("severity = 'error' AND bad_count > 0").collect()}
+    assert failing == {"referential", "excess_refund"}
+    assert not (tmp_path / "reports").exists()
+
+
+def test_a_chosen_suite_lets_the_run_pass(spark, raw_folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "all_reports", lambda tables, as_of: {})
+    suite = quality.Suite(references=())
+    with pytest.raises(pipeline.InvalidData, match="1 checks failed"):
+        pipeline.run_batch(spark, raw_folder, str(tmp_path), AS_OF, suite)
+
+
+def test_transaction_analysis(spark, folder):
+    rows = fixtures.clean_tables(spark, folder)["transactions"]
+    results = pipeline.transaction_analysis(rows)
+    assert set(results) == {"success_rate", "hourly_patterns", "fraud_patterns", "customer_clv"}
+    assert results["fraud_patterns"].count() == rows.count()
+
+
+def test_views_answer_sql(spark, folder):
+    tables = fixtures.clean_tables(spark, folder)
+    catalog.publish(tables)
+    assert catalog.run_sql(spark, "SELECT count(*) FROM customers").first()[0] == tables["customers"].count()
+    total = catalog.run_sql(spark, "SELECT sum(total_transactions) FROM daily_transaction_summary")
+    assert total.first()[0] == tables["transactions"].count()
+    risky = catalog.run_sql(
+        spark, "SELECT count(*) FROM high_risk_customers WHERE risk_score > :limit", limit=90
+    )
+    assert risky.first()[0] == tables["customers"].where("risk_score > 90").count()
+
+
+def test_gateway_rows(spark):
+    rows = catalog.payment_gateways(spark, AS_OF).orderBy("gateway_id").collect()
+    assert [r["gateway_id"] for r in rows] == [1, 2, 3, 4]
+    assert all(r["is_active"] and r["created_at"] is not None for r in rows)
+
+
+def test_nothing_is_read_before_it_is_asked_for(spark, folder):
+    tables = fixtures.clean_tables(spark, folder)
+    reports.refund_analysis(tables, AS_OF)
+    assert set(tables._made) == {"refunds"}
+
+
+def test_shared_folder_follows_the_session(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
+    try:
+        assert shared_folder(spark) == str(tmp_path)
+        assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

@@ -1,0 +1,170 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwright import fixtures
+from tillwright.operators import keys, quality
+
+AS_OF = date(2024, 1, 31)
+
+
+def counts(report):
+    return {(r["check"], r["column"]): r["bad_count"] for r in report.collect()}
+
+
+def test_nulls_skip_absent_columns(make):
+    rows = make("a STRING, b STRING", [("x", None), (None, None)])
+    assert counts(quality.check_nulls(rows, "t", ("a", "b", "zzz"))) == {
+        ("nulls", "a"): 1, ("nulls", "b"): 2,
+    }
+
+
+@pytest.mark.parametrize("values, expected", [
+    (["a", "a", "b", None, None], 2), (["a", "b"], 0), ([None], 0), ([], 0), (["a"] * 5, 4),
+])
+def test_duplicates(make, values, expected):
+    rows = make("v STRING", [(v,) for v in values])
+    assert counts(quality.check_duplicates(rows, "t", ["v"])) == {("duplicates", "v"): expected}
+
+
+def test_types_look_for_the_expected_name(make):
+    rows = make("a BIGINT, b STRING", [(1, "x"), (2, None)])
+    report = quality.check_data_types(rows, "t", {"a": "int", "b": "int", "c": "int"})
+    assert counts(report) == {("types", "a"): 0, ("types", "b"): 1}
+
+
+def test_ranges_include_the_bounds_and_ignore_nulls(make):
+    rows = make("v INT", [(0,), (100,), (-1,), (101,), (None,)])
+    assert counts(quality.check_value_ranges(rows, "t", {"v": (0, 100)})) == {("ranges", "v"): 2}
+
+
+def test_orphans_are_counted_once_per_key(make):
+    child = make("k BIGINT", [(9,), (9,), (9,), (1,), (None,)])
+    parent = make("id BIGINT", [(1,), (2,), (2,)])
+    report = quality.check_referential_integrity(child, parent, "k", "id", "c -> p")
+    assert counts(report) == {("referential", "k"): 1}
+    assert [r["key"] for r in keys.orphan_keys(child, "k", parent, "id").collect()] == [9]
+
+
+def test_a_table_has_no_orphans_in_itself(spark, folder):
+    rows = fixtures.raw_tables(spark, folder)["transactions"]
+    assert keys.orphan_keys(rows, "customer_id", rows, "customer_id").count() == 0
+
+
+def test_excess_refunds_with_one_dominant_transaction(make):
+    refunds = make(
+        "transaction_id BIGINT, refund_amount DECIMAL(15,2)",
+        [(1, "10.01")] * 50 + [(1, "10.00"), (2, "1.00"), (3, "99.00"), (None, "99.00")],
+    )
+    paid = make("transaction_id BIGINT, amount DECIMAL(15,2)", [(1, "10.00"), (2, "5.00")])
+    report = quality.check_excess_refunds({"refunds": refunds, "transactions": paid})
+    assert counts(report) == {("excess_refund", "refund_amount"): 50}
+
+
+def test_first_per_key(make):
+    rows = make("k STRING, n INT", [("a", 3), ("a", 1), ("b", 2), ("a", 2)])
+    kept = {tuple(r) for r in keys.first_per_key(rows, "k", [F.col("n")]).collect()}
+    assert kept == {("a", 1), ("b", 2)}
+
+
+def test_failed_customers_limit_is_strict(make):
+    rows = make(
+        "customer_id BIGINT, transaction_status STRING",
+        [(1, "failed")] * 5 + [(2, "failed")] * 6 + [(None, "failed")] * 9 + [(3, "success")] * 9,
+    )
+    found = quality.failed_customers(rows).collect()
+    assert [(r["customer_id"], r["failed_count"]) for r in found] == [(2, 6)]
+
+
+def test_outliers_use_the_sample_deviation(make):
+    values = [10.0] * 20 + [1000.0]
+    rows = make("transaction_id BIGINT, amount DECIMAL(15,2)", list(enumerate(values)))
+    import statistics
+
+    expected = statistics.mean(values) + 3 * statistics.stdev(values)
+    threshold = quality.amount_threshold(rows).first()["threshold"]
+    assert threshold == pytest.approx(expected, rel=1e-12)
+    assert [r["transaction_id"] for r in quality.high_amounts(rows).collect()] == [20]
+
+
+def test_no_outliers_in_one_row(make):
+    rows = make("transaction_id BIGINT, amount DECIMAL(15,2)", [(1, 5)])
+    assert quality.high_amounts(rows).count() == 0
+
+
+def test_suite_finds_each_seeded_defect(spark, folder):
+    clean = dict(fixtures.clean_tables(spark, folder))
+    report = quality.check(clean, AS_OF)
+    baseline = {(r["check"], r["table"], r["column"]): r["bad_count"] for r in report.collect()}
+
+    broken = dict(clean)
+    rows = clean["transactions"]
+    broken["transactions"] = rows.unionByName(
+        rows.where("transaction_id = 2").withColumns({
+            "amount": F.lit(-7).cast("decimal(15,2)"),
+            "transaction_status": F.lit(None).cast("string"),
+            "transaction_timestamp": F.lit("2030-01-01 01:00:00").cast("timestamp"),
+            "merchant_id": F.lit(-99).cast("bigint"),
+        })
+    )
+    broken["customers"] = clean["customers"].withColumn(
+        "risk_score", F.when(F.col("customer_id") == 3, 101).otherwise(F.col("risk_score"))
+    )
+    after = {
+        (r["check"], r["table"], r["column"]): r["bad_count"]
+        for r in quality.check(broken, AS_OF).collect()
+    }
+    raised = {key for key in after if after[key] > baseline[key]}
+    assert raised >= {
+        ("nulls", "transactions", "transaction_status"),
+        ("duplicates", "transactions", "transaction_id"),
+        ("duplicates", "transactions", "transaction_uuid"),
+        ("ranges", "transactions", "amount"),
+        ("ranges", "customers", "risk_score"),
+        ("referential", "transactions -> merchants", "merchant_id"),
+        ("nonpositive_amount", "transactions", "amount"),
+        ("future_timestamp", "transactions", "transaction_timestamp"),
+        ("invalid_risk", "customers", "risk_score"),
+        ("odd_hours", "transactions", "transaction_timestamp"),
+    }
+
+
+def test_suite_without_anomalies(spark, folder):
+    clean = fixtures.clean_tables(spark, folder)
+    suite = quality.Suite(detect_anomalies=False)
+    checks = {r["check"] for r in quality.check(clean, AS_OF, suite).collect()}
+    assert not checks & {"high_amount", "failed_customers", "odd_hours"}
+
+
+def test_verdict(spark):
+    def verdict(rows):
+        ddl = "check STRING, table STRING, column STRING, severity STRING, bad_count BIGINT, detail STRING"
+        return tuple(quality.verdict(spark.createDataFrame(rows, ddl)).first())
+
+    warning = ("c", "t", "v", "warning", 3, "")
+    assert verdict([warning, ("c", "t", "v", "error", 0, "")]) == (0, 1, True)
+    assert verdict([warning, ("c", "t", "v", "error", 1, "")]) == (1, 1, False)
+
+
+@pytest.mark.parametrize("nulls, expected", [(5, 0), (6, 6)])
+def test_null_gate_is_strict(make, nulls, expected):
+    rows = make("v STRING", [(None,)] * nulls + [("x",)] * (100 - nulls))
+    report = quality.tally(rows, "t", quality.null_gate_tallies(rows, ["v"], 5))
+    assert counts(report) == {("null_gate", "v"): expected}
+
+
+@pytest.mark.parametrize("successes, expected", [(80, 0), (79, 21)])
+def test_success_gate(make, successes, expected):
+    rows = make(
+        "transaction_status STRING", [("success",)] * successes + [("failed",)] * (100 - successes)
+    )
+    report = quality.tally(rows, "transactions", [quality.success_gate(80)])
+    assert counts(report) == {("success_gate", "transaction_status"): expected}
+
+
+def test_texts_with_quotes_survive(make):
+    rows = make("v INT", [(1,)])
+    odd = "it's a \\ test"
+    report = quality.tally(rows, odd, [quality.Tally("c", "v", "info", F.count("*"), odd)])
+    assert (report.first()["table"], report.first()["detail"]) == (odd, odd)

@@ -1,0 +1,86 @@
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tillwright.operators import risk
+
+
+def flags(rows):
+    found = risk.fraud_patterns(rows).collect()
+    return {r["transaction_id"]: r for r in found}
+
+
+def test_gap_amount_and_hour_rules(sales):
+    rows = flags(sales([
+        (1, 1, "10", "success", "2024-01-01 12:00:00"),
+        (2, 1, "10", "success", "2024-01-01 12:00:59"),
+        (3, 1, "10", "success", "2024-01-01 12:01:59"),
+        (4, 1, "10", "success", "2024-01-01 12:01:59"),
+        (5, 2, "1500.00", "success", "2024-01-01 06:00:00"),
+        (6, 3, "1500.01", "success", "2024-01-01 06:00:00"),
+        (7, 4, "10", "success", "2024-01-01 05:59:59"),
+        (8, 5, None, "success", "2024-01-01 09:00:00"),
+    ]))
+    assert {n: rows[n]["time_diff_seconds"] for n in (1, 2, 3, 4)} == {1: None, 2: 59, 3: 60, 4: 0}
+    suspicious = {n for n, r in rows.items() if r["is_suspicious"]}
+    assert suspicious == {2, 4, 6, 7}
+    assert all(r["is_suspicious"] is not None for r in rows.values())
+
+
+def test_fractions_are_cut_before_subtracting(sales):
+    rows = flags(sales([
+        (1, 1, "1", "success", "2024-01-01 12:00:00.9"),
+        (2, 1, "1", "success", "2024-01-01 12:01:00.1"),
+    ]))
+    assert rows[2]["time_diff_seconds"] == 60 and not rows[2]["is_suspicious"]
+
+
+def test_missing_customers_and_times(sales):
+    rows = flags(sales([
+        (1, None, "1", "success", "2024-01-01 12:00:00"),
+        (2, None, "1", "success", "2024-01-01 12:00:10"),
+        (3, 0, "1", "success", "2024-01-01 12:00:05"),
+        (4, 0, "1", "success", None),
+    ]))
+    assert rows[2]["time_diff_seconds"] == 10
+    assert rows[3]["prev_transaction_time"] is None
+    assert rows[4]["prev_transaction_time"] is None and not rows[4]["is_suspicious"]
+
+
+@pytest.mark.parametrize("slot", ["minute", "hour", "day"])
+def test_equals_one_plain_window_with_a_dominant_customer(spark, slot):
+    """A third of all rows belong to one customer; slots must not change any result."""
+    picked = random.Random(7)
+    start = datetime(2024, 1, 1)
+    data = []
+    for n in range(3000):
+        who = 1 if picked.random() < 0.34 else picked.randrange(2, 60)
+        seconds = picked.choice((picked.randrange(86400 * 3), picked.randrange(300)))
+        data.append((n, who, 5.0, start + timedelta(seconds=seconds)))
+    rows = spark.createDataFrame(
+        data,
+        "transaction_id BIGINT, customer_id BIGINT, amount DOUBLE, transaction_timestamp TIMESTAMP",
+    )
+    plain = Window.partitionBy("customer_id").orderBy("transaction_timestamp", "transaction_id")
+    expected = rows.withColumn("prev_transaction_time", F.lag("transaction_timestamp").over(plain))
+    actual = risk.with_previous_time(rows, slot).select(expected.columns)
+    assert actual.count() == 3000
+    assert actual.exceptAll(expected).count() == 0
+
+
+def test_count_matches_rows(spark, folder):
+    from tillwright import fixtures
+
+    rows = fixtures.clean_tables(spark, folder)["transactions"]
+    counted = risk.suspicious_count(rows).first()["suspicious_count"]
+    assert counted == risk.suspicious_transactions(rows).count() > 0
+
+
+def test_thresholds_are_parameters(sales):
+    rows = sales([(1, 1, "10", "success", "2024-01-01 03:00:00")])
+    assert risk.suspicious_transactions(rows).count() == 1
+    assert risk.suspicious_transactions(rows, night_hours=(23,)).count() == 0
+    assert risk.suspicious_transactions(rows, night_hours=(23,), high_amount=9).count() == 1

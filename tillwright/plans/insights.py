@@ -154,7 +154,7 @@ def risk_score_histogram(tables: Tables, bins: int = 20) -> DataFrame:
     )
     position = F.expr(f"(risk_score - low) * {bins} div nullif(high - low, 0) + 1")
     # With a single score the range is one unit wide and centred on it.
-    bin_number = F.coalesce(F.least(position, F.lit(bins)), F.lit(bins // 2 + 1))
+    bin_number = F.least(F.coalesce(position, F.lit(bins // 2 + 1)), F.lit(bins))
     filled = per_score.groupBy(bin_number.cast("int").alias("bin"), "low", "high").agg(
         F.sum("n").alias("n")
     )
