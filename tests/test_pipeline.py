@@ -87,10 +87,31 @@ def test_nothing_is_read_before_it_is_asked_for(spark, folder):
     assert set(tables._made) == {"refunds"}
 
 
-def test_shared_folder_follows_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
-    try:
-        assert shared_folder(spark) == str(tmp_path)
-        assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_shared_folder_is_the_configured_one():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return "/shared/folder/" if key == "spark.checkpoint.dir" else default
+
+    assert shared_folder(Session) == "/shared/folder"
+    assert scratch_path(Session, "x").startswith("/shared/folder/x-")
+    assert scratch_path(Session, "x") != scratch_path(Session, "x")
+
+
+def test_shared_folder_of_a_cluster_must_be_configured():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)

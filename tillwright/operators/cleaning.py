@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from ..functions import expressions as X
 from ..functions import rules
@@ -13,7 +15,7 @@ from ..schemas import COLUMN_DEFAULTS, schema
 
 
 def clean_merchants(merchants: DataFrame) -> DataFrame:
-    created = X.strict_timestamp(F.col("created_at"))
+    created = _time(merchants, "created_at")
     return merchants.withColumns({
         "merchant_name": X.strip(F.col("merchant_name")),
         "merchant_email": F.lower("merchant_email"),
@@ -28,8 +30,8 @@ def clean_customers(customers: DataFrame) -> DataFrame:
         "customer_email": X.strip(F.lower("customer_email")),
         "customer_name": X.strip(F.col("customer_name")),
         "risk_score": _bounded(customers, "risk_score", rules.RISK_RANGE),
-        "customer_since": X.strict_timestamp(F.col("customer_since")).cast("date"),
-        "created_at": X.strict_timestamp(F.col("created_at")),
+        "customer_since": _time(customers, "customer_since").cast("date"),
+        "created_at": _time(customers, "created_at"),
         "phone_number": F.coalesce("phone_number", F.lit(rules.NO_PHONE)),
     })
 
@@ -37,8 +39,8 @@ def clean_customers(customers: DataFrame) -> DataFrame:
 def clean_transactions(transactions: DataFrame) -> DataFrame:
     """Also derives the hour, Monday-based weekday, month and processing time."""
     typed = transactions.withColumns({
-        "transaction_timestamp": X.strict_timestamp(F.col("transaction_timestamp")),
-        "processed_timestamp": X.lenient_timestamp(F.col("processed_timestamp")),
+        "transaction_timestamp": _time(transactions, "transaction_timestamp"),
+        "processed_timestamp": _time(transactions, "processed_timestamp", X.lenient_timestamp),
         "amount": F.abs("amount"),
         "transaction_status": X.strip(F.lower("transaction_status")),
     })
@@ -52,14 +54,14 @@ def clean_transactions(transactions: DataFrame) -> DataFrame:
 
 
 def clean_payment_methods(methods: DataFrame) -> DataFrame:
-    typed = methods.withColumn("created_at", X.strict_timestamp(F.col("created_at")))
+    typed = methods.withColumn("created_at", _time(methods, "created_at"))
     return typed.fillna("", subset=["card_last_4", "card_brand"])
 
 
 def clean_fraud_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.withColumns({
-        "created_at": X.strict_timestamp(F.col("created_at")),
-        "resolved_at": X.lenient_timestamp(F.col("resolved_at")),
+        "created_at": _time(alerts, "created_at"),
+        "resolved_at": _time(alerts, "resolved_at", X.lenient_timestamp),
         "risk_level": F.lower("risk_level"),
         "resolved_by": F.coalesce("resolved_by", F.lit(rules.UNRESOLVED_BY)),
     })
@@ -67,8 +69,8 @@ def clean_fraud_alerts(alerts: DataFrame) -> DataFrame:
 
 def clean_refunds(refunds: DataFrame) -> DataFrame:
     return refunds.withColumns({
-        "requested_at": X.strict_timestamp(F.col("requested_at")),
-        "processed_at": X.lenient_timestamp(F.col("processed_at")),
+        "requested_at": _time(refunds, "requested_at"),
+        "processed_at": _time(refunds, "processed_at", X.lenient_timestamp),
         "refund_amount": F.abs("refund_amount"),
         "refund_status": F.lower("refund_status"),
     })
@@ -110,6 +112,14 @@ def _default(value, now: datetime) -> Column:
     return F.lit(value)
 
 
+def _time(
+    df: DataFrame, column: str, parse: Callable[[Column], Column] = X.strict_timestamp
+) -> Column:
+    """A column as a timestamp. One that already is stays bare, so filters on it reach the scan."""
+    value = F.col(column)
+    return value if isinstance(df.schema[column].dataType, TimestampType) else parse(value)
+
+
 def _bounded(df: DataFrame, column: str, bounds: tuple[int, int]) -> Column:
     """Clip and keep the column's type."""
     return X.clip(F.col(column), *bounds).cast(df.schema[column].dataType)

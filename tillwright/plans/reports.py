@@ -18,23 +18,38 @@ from .common import Tables, day, hour, recent, since
 
 
 def daily_revenue(tables: Tables, as_of: date, days: int = 30) -> DataFrame:
+    """Totals per day, with distinct customers and merchants.
+
+    Distinct counts run apart from the totals: their shuffled rows are then a day and an id, while
+    together every row would be expanded per distinct column and drag all the totals along.
+    """
+    dated = recent(tables, as_of, days).withColumn("transaction_date", day())
+    totals = dated.groupBy("transaction_date").agg(
+        F.count("*").alias("total_transactions"),
+        X.revenue().alias("total_revenue"),
+        F.count_if(X.has_status(rules.FAILED)).alias("failed_count"),
+        X.amount_where(X.has_status(rules.REFUNDED)).alias("refunded_amount"),
+        X.mean2(X.revenue(), X.orders()).alias("avg_transaction_value"),
+        X.percent2(X.orders(), F.count("*")).alias("success_rate_pct"),
+    )
+    customers = _distinct_per(dated, "transaction_date", "customer_id", "unique_customers")
+    merchants = _distinct_per(dated, "transaction_date", "merchant_id", "unique_merchants")
     return (
-        recent(tables, as_of, days)
-        .groupBy(day().alias("transaction_date"))
-        .agg(
-            F.count("*").alias("total_transactions"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            F.count_distinct("merchant_id").alias("unique_merchants"),
-            X.revenue().alias("total_revenue"),
-            F.count_if(X.has_status(rules.FAILED)).alias("failed_count"),
-            X.amount_where(X.has_status(rules.REFUNDED)).alias("refunded_amount"),
-            X.mean2(X.revenue(), X.orders()).alias("avg_transaction_value"),
-            X.percent2(X.orders(), F.count("*")).alias("success_rate_pct"),
+        totals.join(customers, "transaction_date")
+        .join(merchants, "transaction_date")
+        .select(
+            "transaction_date", "total_transactions", "unique_customers", "unique_merchants",
+            "total_revenue", "failed_count", "refunded_amount", "avg_transaction_value",
+            "success_rate_pct",
         )
         .orderBy(F.desc_nulls_first("transaction_date"))
     )
 
 
+def _distinct_per(rows: DataFrame, group: str, column: str, name: str) -> DataFrame:
+    return rows.groupBy(group).agg(F.count_distinct(column).alias(name))
+
+
 def top_merchants(
     tables: Tables, as_of: date, days: int = 30, min_transactions: int = 10, limit: int = 20
 ) -> DataFrame:

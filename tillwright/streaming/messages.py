@@ -54,7 +54,11 @@ def parse(messages: DataFrame) -> DataFrame:
     """
     schema = f"{MESSAGE_SCHEMA}, {CORRUPT} STRING"
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    # One-element explode: a row still gives one row, but the parsed value becomes a real column.
+    # Without it every later use of a field would parse the text again.
+    parsed = F.explode(
+        F.array(F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}))
+    )
     at = F.col("m.timestamp").try_cast("timestamp")
     usable = (
         F.col(f"m.{CORRUPT}").isNull()
