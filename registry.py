@@ -11,7 +11,7 @@ from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
 from tillwright import fixtures
 from tillwright.operators import cleaning, keys, quality, risk
-from tillwright.plans import pipeline, reports
+from tillwright.plans import batch, reports
 from tillwright.session import apply_settings, scratch_path
 from tillwright.sinks import database, files as file_sinks
 from tillwright.sources import catalog, files as file_sources
@@ -67,8 +67,8 @@ def _reports() -> dict[str, Query]:
     def dated(report) -> Query:
         return over_clean(lambda tables: report(tables, AS_OF))
 
-    named = {name: dated(report) for name, report in pipeline.DATED_REPORTS.items()}
-    named |= {name: over_clean(report) for name, report in pipeline.REPORTS.items()}
+    named = {name: dated(report) for name, report in batch.DATED_REPORTS.items()}
+    named |= {name: over_clean(report) for name, report in batch.REPORTS.items()}
     named["cohort_retention"] = lambda spark, folder: reports.cohort_retention(
         {"transactions": fixtures.long_range_transactions(spark, folder)}, COHORT_AS_OF
     )

@@ -4,7 +4,7 @@ import pytest
 
 from tillwright import fixtures
 from tillwright.operators import quality
-from tillwright.plans import pipeline, reports
+from tillwright.plans import batch, reports
 from tillwright.session import scratch_path, shared_folder
 from tillwright.sources import catalog
 
@@ -27,10 +27,10 @@ def raw_folder(spark, folder, tmp_path_factory):
 
 
 def test_run_from_csv_equals_direct_reports(spark, folder, raw_folder, tmp_path):
-    paths = pipeline.run_batch(
+    paths = batch.run_batch(
         spark, raw_folder, str(tmp_path), AS_OF, stop_on_errors=False, backup=True
     )
-    direct = pipeline.all_reports(fixtures.clean_tables(spark, folder), AS_OF)
+    direct = batch.all_reports(fixtures.clean_tables(spark, folder), AS_OF)
     assert set(paths) == set(direct) | {"quality"}
     for name in direct:
         stored, frame = spark.read.parquet(paths[name]), direct[name]
@@ -41,8 +41,8 @@ def test_run_from_csv_equals_direct_reports(spark, folder, raw_folder, tmp_path)
 
 
 def test_quality_gate_stops_the_run(spark, raw_folder, tmp_path):
-    with pytest.raises(pipeline.InvalidData, match="checks failed"):
-        pipeline.run_batch(spark, raw_folder, str(tmp_path), AS_OF)
+    with pytest.raises(batch.InvalidData, match="checks failed"):
+        batch.run_batch(spark, raw_folder, str(tmp_path), AS_OF)
     report = spark.read.parquet(str(tmp_path / "quality"))
     failing = {r["check"] for r in report.where("severity = 'error' AND bad_count > 0").collect()}
     assert failing == {"referential", "excess_refund"}
@@ -50,15 +50,15 @@ def test_quality_gate_stops_the_run(spark, raw_folder, tmp_path):
 
 
 def test_a_chosen_suite_lets_the_run_pass(spark, raw_folder, tmp_path, monkeypatch):
-    monkeypatch.setattr(pipeline, "all_reports", lambda tables, as_of: {})
+    monkeypatch.setattr(batch, "all_reports", lambda tables, as_of: {})
     suite = quality.Suite(references=())
-    with pytest.raises(pipeline.InvalidData, match="1 checks failed"):
-        pipeline.run_batch(spark, raw_folder, str(tmp_path), AS_OF, suite)
+    with pytest.raises(batch.InvalidData, match="1 checks failed"):
+        batch.run_batch(spark, raw_folder, str(tmp_path), AS_OF, suite)
 
 
 def test_transaction_analysis(spark, folder):
     rows = fixtures.clean_tables(spark, folder)["transactions"]
-    results = pipeline.transaction_analysis(rows)
+    results = batch.transaction_analysis(rows)
     assert set(results) == {"success_rate", "hourly_patterns", "fraud_patterns", "customer_clv"}
     assert results["fraud_patterns"].count() == rows.count()
 

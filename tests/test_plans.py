@@ -7,7 +7,7 @@ import pytest
 from tests.compare import plan_text
 from tillwright import fixtures
 from tillwright.operators import keys, quality, risk
-from tillwright.plans import insights, pipeline, reports, summaries
+from tillwright.plans import batch, insights, reports, summaries
 from tillwright.schemas import MONTH
 from pyspark.sql import functions as F
 
@@ -18,8 +18,8 @@ AS_OF = date(2024, 1, 31)
 def stored(spark, folder, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans"))
     clean = fixtures.clean_tables(spark, folder)
-    pipeline.store_processed({name: clean[name] for name in fixtures.RAW_TABLES}, path)
-    return pipeline.read_processed(spark, path, AS_OF)
+    batch.store_processed({name: clean[name] for name in fixtures.RAW_TABLES}, path)
+    return batch.read_processed(spark, path, AS_OF)
 
 
 @pytest.fixture(autouse=True)
@@ -43,7 +43,7 @@ def scanned(plan: str) -> list[set[str]]:
 
 
 def all_frames(stored):
-    frames = pipeline.all_reports(stored, AS_OF)
+    frames = batch.all_reports(stored, AS_OF)
     frames["quality"] = quality.check(stored, AS_OF)
     return frames
 

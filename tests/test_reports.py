@@ -160,7 +160,7 @@ def test_repeated_transaction_ids_count_once_but_fail_twice(make, sales):
 
 
 def test_metrics_of_an_empty_table(sales):
-    (row,) = summaries.pipeline_metrics({"transactions": sales([])}).collect()
+    (row,) = summaries.run_metrics({"transactions": sales([])}).collect()
     assert (row["total_transactions"], row["total_revenue"], row["total_refunded"]) == (0, 0, 0)
     assert row["avg_transaction_value"] is None and row["success_rate"] is None
 

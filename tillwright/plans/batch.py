@@ -36,7 +36,7 @@ DATED_REPORTS = {
 REPORTS = {
     "daily_transaction_summary": summaries.daily_transaction_summary,
     "high_risk_customers": summaries.high_risk_customers,
-    "pipeline_metrics": summaries.pipeline_metrics,
+    "run_metrics": summaries.run_metrics,
     "success_rate_by_merchant_type": profiles.success_rate_by_merchant_type,
     "hourly_patterns": profiles.hourly_patterns,
     "customer_clv_success_only": profiles.customer_clv_success_only,

@@ -1,4 +1,4 @@
-"""The two published views and the pipeline's own metrics."""
+"""The two published views and the metrics of a run."""
 
 from __future__ import annotations
 
@@ -64,7 +64,7 @@ def high_risk_customers(tables: Tables) -> DataFrame:
     )
 
 
-def pipeline_metrics(tables: Tables) -> DataFrame:
+def run_metrics(tables: Tables) -> DataFrame:
     """One row of totals; empty sums are 0, empty means are null."""
     refunded = X.amount_where(X.has_status(rules.REFUNDED))
     return tables["transactions"].agg(
@@ -78,7 +78,7 @@ def pipeline_metrics(tables: Tables) -> DataFrame:
 
 def summary_report(tables: Tables, generated_at: date | datetime) -> DataFrame:
     """The metrics as display text."""
-    metrics = pipeline_metrics(tables)
+    metrics = run_metrics(tables)
     rounded = F.format_string
     return metrics.select(
         F.date_format(X.instant(generated_at), "yyyy-MM-dd HH:mm:ss").alias("report_date"),
