@@ -341,9 +341,9 @@ def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
     valid.unionAll(other.select(F.col("props").alias("value"))).write.text(f"{root}/inbox")
     store = ingest.FileStore(spark, f"{root}/store")
     stream = message_sources.file_stream(spark, f"{root}/inbox", max_files=2)
+    process = ingest.store_batch(store, lambda: datetime(2024, 1, 31))
     ingest.start_ingest(
-        stream, store, f"{root}/checkpoint", available_now=True,
-        now=lambda: datetime(2024, 1, 31),
+        stream, process, f"{root}/checkpoint", available_now=True
     ).awaitTermination()
     return store
 

@@ -124,7 +124,8 @@ def run(spark, tmp_path):
             (inbox / name).write_text("\n".join(texts) + "\n")
         stream = sources.file_stream(spark, str(inbox))
         ingest.start_ingest(
-            stream, store, str(tmp_path / "checkpoint"), available_now=True, now=lambda: NOW
+            stream, ingest.store_batch(store, lambda: NOW), str(tmp_path / "checkpoint"),
+            available_now=True,
         ).awaitTermination()
 
     go.store = store
@@ -244,3 +245,82 @@ def test_stream_equals_batch(spark, folder, run, tmp_path):
     assert stored.exceptAll(batch).count() == batch.exceptAll(stored).count() == 0
     expected = sorted(r[0] for r in messages.high_value_alerts(batch).select("transaction_uuid").collect())
     assert alerts(spark, run.store) == expected
+
+
+class Tables:
+    """A database in miniature: append-only Parquet, ids given on insert."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root, self.next_id = spark, root, 1
+
+    def read(self, table, days):
+        ddl = {
+            "transactions": "transaction_id BIGINT, transaction_uuid STRING, amount DECIMAL(15,2),"
+                            " transaction_timestamp TIMESTAMP",
+            "fraud_alerts": "transaction_id BIGINT, alert_type STRING, risk_level STRING",
+        }[table]
+        (self.root / table).mkdir(exist_ok=True)
+        rows = self.spark.read.schema(ddl).parquet(str(self.root / table))
+        if days:
+            rows = rows.where(F.to_date("transaction_timestamp").isin(days))
+        return rows
+
+    def append(self, table, rows):
+        if table == "transactions":
+            assert "transaction_id" not in rows.columns and "transaction_date" not in rows.columns
+            rows = rows.withColumn("transaction_id", F.monotonically_increasing_id() + self.next_id)
+            self.next_id += 1_000_000_000_000
+        rows.write.mode("append").parquet(str(self.root / table))
+
+
+def test_database_store(spark, tmp_path):
+    tables, kept = Tables(spark, tmp_path), []
+    process = ingest.store_batch_in_tables(
+        ingest.TableStore(tables.read, tables.append),
+        lambda bad: kept.extend(r["value"] for r in bad.collect()),
+        lambda: NOW,
+    )
+    first = spark.createDataFrame(
+        [(message("a", 1600),), (message("b", 5),), (message("a", 1600),), ("bad",)], "value STRING"
+    )
+    second = spark.createDataFrame([(message("a", 1600),), (message("c", 9999),)], "value STRING")
+    for batch, number in ((first, 0), (first, 0), (second, 1)):
+        process(batch, number)
+    rows = {r["transaction_uuid"]: r["transaction_id"] for r in tables.read("transactions", None).collect()}
+    assert set(rows) == {"a", "b", "c"} and len(set(rows.values())) == 3
+    alerted = [r["transaction_id"] for r in tables.read("fraud_alerts", None).collect()]
+    assert sorted(alerted) == sorted([rows["a"], rows["c"]])
+    assert kept == ["bad", "bad"]
+
+
+def test_alerts_missing_after_a_failure_are_added(spark, tmp_path):
+    tables = Tables(spark, tmp_path)
+    append = tables.append
+
+    def failing(table, rows):
+        if table == "fraud_alerts":
+            raise RuntimeError("lost")
+        append(table, rows)
+
+    batch = spark.createDataFrame([(message("a", 1600),)], "value STRING")
+    for act in (failing, append):
+        process = ingest.store_batch_in_tables(
+            ingest.TableStore(tables.read, act), lambda bad: None, lambda: NOW
+        )
+        if act is failing:
+            with pytest.raises(RuntimeError, match="lost"):
+                process(batch, 0)
+        else:
+            process(batch, 0)
+    assert tables.read("transactions", None).count() == 1
+    assert tables.read("fraud_alerts", None).count() == 1
+
+
+def test_keys_query():
+    every = "SELECT transaction_id, alert_type FROM fraud_alerts"
+    assert ingest.keys_query("fraud_alerts", None) == every
+    assert ingest.keys_query("transactions", ["2024-05-02", "2024-05-01"]) == (
+        "SELECT transaction_id, transaction_uuid FROM transactions "
+        "WHERE transaction_timestamp >= DATE '2024-05-01' "
+        "AND transaction_timestamp < DATE '2024-05-02' + INTERVAL '1' DAY"
+    )

@@ -19,8 +19,11 @@ def with_previous_time(transactions: DataFrame, slot: str = "minute") -> DataFra
     """
     at = F.col("transaction_timestamp")
     keyed = transactions.withColumns({
-        # A null customer is a group of its own, as in a window partition.
-        "_who": F.coalesce("customer_id", F.lit(0).cast("bigint")),
+        # A null customer is a group of its own, as in a window partition. Rows without a time have
+        # no previous one whatever their group, so they are spread by id.
+        "_who": F.when(at.isNull(), F.col("transaction_id")).otherwise(
+            F.coalesce("customer_id", F.lit(0).cast("bigint"))
+        ),
         "_nobody": F.col("customer_id").isNull(),
         "_slot": F.date_trunc(slot, at),
     })

@@ -1,4 +1,4 @@
-"""Streaming ingest into a file store: transactions, alerts and unreadable messages."""
+"""Streaming ingest of transactions, alerts and unreadable messages, into files or a database."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..schemas import schema
+from ..sinks.database import write_table
+from ..sources.database import read_query
 from . import messages as M
 
 DAY = "transaction_date"
@@ -24,6 +26,10 @@ MAX_NAMED_DAYS = 400
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 def stored_schema() -> StructType:
     """Transactions as stored: keyed by uuid, with the two partition columns."""
     fields = [f for f in schema("transactions") if f.name != "transaction_id"]
@@ -100,8 +106,10 @@ def event_days(rows: DataFrame) -> tuple[list[str] | None, int]:
     return [row["day"] for row in found], sum(row["n"] for row in found)
 
 
-def store_batch(store: FileStore, now: Callable[[], datetime]) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch function."""
+def store_batch(
+    store: FileStore, now: Callable[[], datetime] = utc_now
+) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch function for a FileStore."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = M.parse(batch).persist()
@@ -128,23 +136,113 @@ def store_batch(store: FileStore, now: Callable[[], datetime]) -> Callable[[Data
     return run
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+class TableStore:
+    """Tables of a database that numbers transactions itself.
+
+    `read(table, days)` gives the stored rows of the named event days (all when None) and
+    `append(table, rows)` adds rows. Appends cannot be replaced, so a replayed batch is compared with
+    what its first attempt stored: transactions by uuid, alerts by transaction and type.
+
+    A database that enforces unique uuids would fail the whole batch on one that returns under
+    another day, so all stored uuids are compared unless `compare_all_days` is off.
+    """
+
+    def __init__(
+        self,
+        read: Callable[[str, list[str] | None], DataFrame],
+        append: Callable[[str, DataFrame], None],
+        compare_all_days: bool = True,
+    ):
+        self.read = read
+        self.append = append
+        self.compare_all_days = compare_all_days
+
+    def store(self, rows: DataFrame, days: list[str] | None) -> None:
+        known = self.read("transactions", None if self.compare_all_days else days)
+        fresh = rows.drop(DAY).join(known.select("transaction_uuid"), "transaction_uuid", "left_anti")
+        self.append("transactions", fresh)
+        numbered = M.with_stored_ids(M.high_value_alerts(rows), self.read("transactions", days))
+        raised = self.read("fraud_alerts", None).select("transaction_id", "alert_type")
+        self.append(
+            "fraud_alerts",
+            numbered.drop("transaction_uuid").join(
+                raised, ["transaction_id", "alert_type"], "left_anti"
+            ),
+        )
+
+
+def database_store(
+    spark: SparkSession,
+    url: str,
+    properties: dict[str, str] | None = None,
+    compare_all_days: bool = True,
+) -> TableStore:
+    """A TableStore over JDBC; event days become a condition the database evaluates."""
+
+    def read(table: str, days: list[str] | None) -> DataFrame:
+        return read_query(spark, url, keys_query(table, days), properties)
+
+    def append(table: str, rows: DataFrame) -> None:
+        write_table(rows, url, table, "append", properties)
+
+    return TableStore(read, append, compare_all_days)
+
+
+COMPARED_COLUMNS = {
+    "transactions": "transaction_id, transaction_uuid",
+    "fraud_alerts": "transaction_id, alert_type",
+}
+
+
+def keys_query(table: str, days: list[str] | None) -> str:
+    """SQL for a table's keys, between the first and last named event day if any."""
+    query = f"SELECT {COMPARED_COLUMNS[table]} FROM {table}"
+    if not days:
+        return query
+    at = "transaction_timestamp"
+    return (
+        f"{query} WHERE {at} >= DATE '{min(days)}' AND {at} < DATE '{max(days)}' + INTERVAL '1' DAY"
+    )
+
+
+def store_batch_in_tables(
+    store: TableStore,
+    quarantine: Callable[[DataFrame], None],
+    now: Callable[[], datetime] = utc_now,
+) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch function for a TableStore."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parsed = M.parse(batch).persist()
+        rows = (
+            M.first_deliveries(M.decode(parsed, now()))
+            .withColumn(DAY, F.to_date("transaction_timestamp"))
+            .persist()
+        )
+        try:
+            quarantine(M.malformed(parsed).withColumn("batch_id", F.lit(batch_id)))
+            days, row_count = event_days(rows)
+            if row_count:
+                store.store(rows, days)
+        finally:
+            rows.unpersist()
+            parsed.unpersist()
+
+    return run
 
 
 def start_ingest(
     messages: DataFrame,
-    store: FileStore,
+    process: Callable[[DataFrame, int], None],
     checkpoint: str,
     available_now: bool = False,
     interval: str = "10 seconds",
-    now: Callable[[], datetime] = utc_now,
 ) -> StreamingQuery:
-    """Run a stream of messages (`value`) into the store; offsets live in the checkpoint."""
+    """Run a stream of messages (`value`) through a batch function; the checkpoint keeps offsets."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         messages.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(store_batch(store, now))
+        .foreachBatch(process)
         .trigger(**trigger)
         .start()
     )
