@@ -56,8 +56,10 @@ class FileStore:
         self.compare_all_days = compare_all_days
 
     def write(self, rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
+        """Replace the batch's files; rebalancing keeps them few, however many tasks made the rows."""
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .hint("rebalance", *by)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by, "batch_id")
