@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
-from tillwright import fixtures
-from tillwright.operators import cleaning, keys, quality, risk
-from tillwright.plans import batch, reports
-from tillwright.session import apply_settings, scratch_path
-from tillwright.sinks import database, files as file_sinks
-from tillwright.sources import catalog, files as file_sources
-from tillwright.streaming import ingest, messages, sources as message_sources
+from . import fixtures
+from .operators import cleaning, keys, quality, risk
+from .plans import batch, reports
+from .session import apply_settings, scratch_path
+from .sinks import database, files as file_sinks
+from .sources import catalog, files as file_sources
+from .streaming import ingest, messages, sources as message_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
