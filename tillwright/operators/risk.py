@@ -18,24 +18,23 @@ def with_previous_time(transactions: DataFrame, slot: str = "minute") -> DataFra
     The big side is shuffled once: the join reuses the window's partitioning and order.
     """
     at = F.col("transaction_timestamp")
-    keyed = transactions.withColumns({
-        # A null customer is a group of its own, as in a window partition. Rows without a time have
-        # no previous one whatever their group, so they are spread by id.
-        "_who": F.when(at.isNull(), F.col("transaction_id")).otherwise(
-            F.coalesce("customer_id", F.lit(0).cast("bigint"))
-        ),
-        "_nobody": F.col("customer_id").isNull(),
-        "_slot": F.date_trunc(slot, at),
-    })
-    group = ["_who", "_nobody", "_slot"]
+    customer = F.coalesce("customer_id", F.lit(0).cast("bigint"))
+    # A null customer is a group of its own, as in a window partition.
+    place = {"_who": customer, "_nobody": F.col("customer_id").isNull(), "_slot": F.date_trunc(slot, at)}
+    group = list(place)
 
+    # Rows without a time have no previous one whatever their group, so they are spread by id.
     # Equal times are ordered by id, to make the result repeatable.
+    spread = place | {"_who": F.when(at.isNull(), F.col("transaction_id")).otherwise(customer)}
     inside = Window.partitionBy(*group).orderBy("transaction_timestamp", "transaction_id")
-    rows = keyed.withColumn("_inside", F.lag("transaction_timestamp").over(inside))
+    rows = transactions.withColumns(spread).withColumn(
+        "_inside", F.lag("transaction_timestamp").over(inside)
+    )
 
     across = Window.partitionBy("_who", "_nobody").orderBy("_slot")
     carried = (
-        keyed.where(at.isNotNull())
+        transactions.where(at.isNotNull())
+        .withColumns(place)
         .groupBy(*group)
         .agg(F.max("transaction_timestamp").alias("_last"))
         .select(*group, F.lag("_last").over(across).alias("_carried"))
