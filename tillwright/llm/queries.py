@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, exact, mixing, tokens
+from . import chat, decontamination, exact, mixing, simhash, tokens, toxicity
 from .common import read_table
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, folder, "labels")))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, folder, "documents"))
 
@@ -21,12 +26,22 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_overlaps(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    )
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.copies(read_table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(read_table(spark, folder, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(read_table(spark, folder, "conversations"))
 
