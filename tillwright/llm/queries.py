@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact, mixing, simhash, tokens, toxicity
+from . import chat, decontamination, exact, mixing, quality, simhash, tokens, toxicity, warc
+from ..session import scratch_path
 from .common import read_table
 
 
@@ -20,6 +21,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(read_table(spark, folder, "documents"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, folder, "pages"), scratch_path(spark, "warc"))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(
         read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +43,11 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return quality.score(docs, quality.train(docs, read_table(spark, folder, "labels")))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, folder, "documents"))
 
@@ -60,6 +70,25 @@ EXACT = rf"""
     FROM (SELECT doc_id, sha256({NORMALISED}) AS text_sha256 FROM documents)
     WINDOW same AS (PARTITION BY text_sha256)"""
 
+# Base32 of a SHA-1: five hex digits are twenty bits, which are four letters.
+WARC = r"""
+    WITH read AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    hashed AS (
+        SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM read),
+    digested AS (
+        SELECT page_id, payload_bytes,
+               array_to_string([substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - i % 4 * 5)::INT) & 31) + 1, 1)
+                   FOR i IN range(0, 32)], '') AS payload_digest
+        FROM hashed),
+    firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digested)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM firsts"""
+
 # The level is found by trying every count of full sources, not by the running sums of the operator.
 MIXING = r"""
     WITH sized AS (
@@ -129,6 +158,7 @@ CHATS = r"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": EXACT,
+        "op3_warc": WARC,
         "op6_mixing": MIXING,
         "op10_chat_formatting": CHATS,
     }
