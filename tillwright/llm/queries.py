@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact, mixing, quality, simhash, tokens, toxicity, warc
+from . import chat, decontamination, exact, mixing, passages, quality, simhash, tokens, toxicity, warc
 from ..session import scratch_path
 from .common import read_table
 
@@ -52,6 +52,10 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(read_table(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, folder, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(read_table(spark, folder, "conversations"))
 
