@@ -1,27 +1,48 @@
-"""Corpus preparation in stages: each stage's rows are written as Parquet and read as the next one's input."""
+"""Corpus preparation in five stages: each stage's rows are written as Parquet and read as the next one's input."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwright.llm import exact, mixing
+from tillwright.llm import decontamination, exact, mixing, simhash, toxicity
 from tillwright.llm.common import read_table, written
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It is fitted on the labelled part of the whole corpus."""
+    model = toxicity.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return toxicity.reject_toxic(docs, model)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest doc_id stays."""
     return exact.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component of near copies the document with the smallest doc_id stays."""
+    return simhash.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it."""
     return mixing.mix(docs)
 
 
 STAGES = [
-    ("exact_dedup", exact_dedup),
-    ("mix_sources", mix_sources),
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("simhash_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
 ]
 
-# Two stages are learned or hashed with functions that SQL has not; tests compare with brute force.
+# The classifier is learned, and SQL has neither its arithmetic nor XXH64: tests compare with brute force.
 ORACLE_SQL = None
 
 
