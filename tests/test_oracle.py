@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import connect, difference
+from tillwright import registry
+from tillwright.oracle.queries import all_statements
 
-QUERIES = contract.queries()
-STATEMENTS = contract.oracle_sql()
+QUERIES = registry.queries()
+STATEMENTS = all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(STATEMENTS)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(STATEMENTS) <= set(contract.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, duck, folder, name):
     assert difference(QUERIES[name](spark, folder), duck, STATEMENTS[name]) is None
