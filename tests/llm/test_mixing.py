@@ -1,0 +1,81 @@
+import random
+import re
+
+import pytest
+
+from tillwright.llm import mixing
+
+
+def water(sizes, weights, share=1.5, most=2.0):
+    """Targets by handing the excess of full sources to the others, round by round."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    target, left, open_ = {}, share * sum(sizes.values()), set(order)
+    while open_:
+        total = sum(weight[s] for s in open_)
+        over = [s for s in open_ if left * weight[s] / total > most * sizes[s]]
+        if not over:
+            return target | {s: left * weight[s] / total for s in open_}
+        for s in over:
+            target[s] = most * sizes[s]
+        left -= sum(most * sizes[s] for s in over)
+        open_ -= set(over)
+    return target
+
+
+def size(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def corpus():
+    dice = random.Random(3)
+    rows = []
+    for s, n in ((None, 30), ("a", 400), ("b", 5), ("Z", 60), ("é", 40), ("", 20), ("none", 3)):
+        for _ in range(n):
+            words = 0 if s == "none" else dice.choice([0, 1, 3, 3, 3, 20, 90])
+            rows.append((len(rows), " ".join("w x" for _ in range(words)) or dice.choice([None, "", " \n"]), s))
+    return rows + [(None, "a b", "a"), (None, "a b", "a"), (3, "a b c", None), (3, "a b c", None)]
+
+
+def test_targets_and_words_taken(docs):
+    rows = corpus()
+    found = mixing.copies(docs(rows)).collect()
+    assert len(found) == len(rows)
+    sizes = {}
+    for _, text, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(text)
+    expected, longest = water(sizes, (3, 1, 2)), max(size(t) for _, t, _ in rows)
+    for s in sizes:
+        own = [r for r in found if r.source == s]
+        assert all(r.target == pytest.approx(expected[s]) and r.source_size == sizes[s] for r in own)
+        assert abs(sum(r.taken for r in own) - expected[s]) <= 2 * longest + 1
+    assert all(0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size for r in found)
+
+
+def test_copies_cross_whole_numbers(docs):
+    rows = [(i, "one word more", "s") for i in range(1000)]
+    found = mixing.copies(docs(rows), weights=(1,), share=1.25).collect()
+    assert sum(r.copies for r in found) in (1249, 1250, 1251)
+    assert {r.copies for r in found} == {1, 2}
+
+
+def test_reruns_agree(docs):
+    rows = corpus()
+    one = sorted(map(tuple, mixing.copies(docs(rows)).collect()), key=str)
+    two = sorted(map(tuple, mixing.copies(docs(rows[::-1]).repartition(5)).collect()), key=str)
+    assert one == two
+
+
+def test_the_mix_has_the_rows_taken(clashing):
+    rows = corpus()
+    df = clashing(rows)
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    assert mixed.count() == sum(r.copies for r in mixing.copies(df).collect())
+
+
+def test_empty_table_and_wordless_table(docs):
+    assert mixing.copies(docs([])).collect() == []
+    assert mixing.mix(docs([])).collect() == []
+    found = mixing.copies(docs([(1, None, "a"), (2, "", "b")])).collect()
+    assert [(r.size, r.target, r.taken) for r in found] == [(0, 0.0, 0), (0, 0.0, 0)]

@@ -1,0 +1,110 @@
+import random
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tillwright.llm import simhash
+from tillwright.llm.components import components
+
+
+def plain_print(text, words=4):
+    found = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    if not found:
+        return 0
+    shingles = [b" ".join(found[i:i + words]) for i in range(max(1, len(found) - words + 1))]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, distance):
+    """Smallest id of each print's component; prints are (id, number) with ids apart."""
+    left, out = dict(prints), {}
+    while left:
+        group, stack = set(), [next(iter(left))]
+        while stack:
+            one = stack.pop()
+            if one in group:
+                continue
+            group.add(one)
+            stack += [i for i, p in left.items() if (p ^ left[one]).bit_count() <= distance and i not in group]
+        known = [i for i in group if i >= 0]
+        for i in group:
+            out[i] = min(known, default=None)
+            del left[i]
+    return out
+
+
+TEXTS = ["", None, " \n", "one", "ONE", "a b c", "A b  c", "a b c d e f", "Éa éA x y z", "a b c d", "w " * 30_000]
+
+
+def test_fingerprints(docs):
+    found = simhash.fingerprints(docs(list(enumerate(TEXTS))), 4).collect()
+    assert {r.doc_id: r.fp % (1 << 64) for r in found} == {i: plain_print(t) for i, t in enumerate(TEXTS)}
+
+
+def test_the_hash_is_the_one_spark_has(docs):
+    text = "some shingle of words"
+    found = docs([(1, text)]).select(F.xxhash64("text")).first()[0]
+    assert found % (1 << 64) == xxhash.xxh64_intdigest(text.encode(), 42)
+
+
+def near_prints(seed, count=400, distance=4):
+    dice = random.Random(seed)
+    prints = [dice.getrandbits(64) for _ in range(count // 8)]
+    while len(prints) < count:
+        base = dice.choice(prints)
+        for b in dice.sample(range(64), dice.randint(0, distance + 2)):
+            base ^= 1 << b
+        prints.append(base)
+    return dict(enumerate(prints))
+
+
+@pytest.mark.parametrize("distance,segments,crowd", [(4, 7, 1000), (4, 7, 3), (3, 7, 2), (4, 8, 1000), (2, 3, 1), (1, 5, 1000)])
+def test_links_give_all_components(spark, distance, segments, crowd):
+    prints = near_prints(distance, distance=distance)
+    signed = {p - (1 << 64) if p >> 63 else p for p in prints.values()}
+    df = spark.createDataFrame([(p,) for p in signed], "fp BIGINT")
+    found = {r.u: r.v for r in components(simhash.near_links(df, distance, segments, crowd)).collect()}
+    expected = plain_components(prints, distance)
+    root = {i: found.get(s := (p - (1 << 64) if p >> 63 else p), s) for i, p in prints.items()}
+    for i in prints:
+        for j in prints:
+            assert (root[i] == root[j]) == (expected[i] == expected[j])
+
+
+def test_patterns_are_the_sets_that_may_agree():
+    from math import comb
+
+    assert len(simhash.patterns(7, 4)) == comb(7, 3)
+    assert sum(simhash.ring(7)) == -1
+
+
+def test_groups(clashing):
+    dice = random.Random(5)
+    rows = list(enumerate(TEXTS))
+    base = [str(dice.randint(0, 50)) for _ in range(300)]
+    for i in range(40):
+        own = list(base)
+        own[dice.randrange(300)] = "x"
+        rows.append((100 + i, " ".join(own)))
+    found = simhash.near_groups(clashing(rows + [(100, rows[-40][1])])).collect()
+    expected = plain_components({i: plain_print(t) for i, t in rows}, 4)
+    assert {r.doc_id: r.component_id for r in found} == expected
+    assert all(int(r.fingerprint, 16) == plain_print(dict(rows)[r.doc_id]) and len(r.fingerprint) == 16 for r in found)
+    kept = simhash.deduplicate(clashing(rows))
+    assert sorted(r[0] for r in kept.collect()) == sorted(set(expected.values()))
+
+
+def test_null_ids_and_empty_table(docs):
+    found = simhash.near_groups(docs([(None, "a"), (None, "b c d"), (4, "a")])).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in found), key=str) == [(4, 4), (None, 4), (None, None)]
+    assert simhash.near_groups(docs([])).collect() == []
+    assert simhash.deduplicate(docs([])).collect() == []
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(100)] + [(200, 200 + i) for i in range(1, 50)] + [(7, 7)]
+    df = spark.createDataFrame(links, "u BIGINT, v BIGINT")
+    found = {r.u: r.v for r in components(df).collect()}
+    assert found == {i: 0 for i in range(1, 101)} | {200 + i: 200 for i in range(1, 50)}
