@@ -87,19 +87,34 @@ def test_facts_shrink_before_a_dimension_join(stored):
         assert "partial_sum" in above_facts
 
 
-def test_large_side_of_the_risk_window_is_shuffled_once(stored):
+def test_no_window_of_the_risk_plan_sees_rows(stored):
     plan = plan_text(risk.fraud_patterns(stored["transactions"]))
-    left = plan[plan.index("SortMergeJoin"):].split("+- Sort [_who", 1)[0]
-    assert shuffles(plan) == 4 and left.count("Exchange") <= 1
-    assert "hashpartitioning(_who" in plan and "hashpartitioning(customer_id" not in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and all("lag(_at" in w or "lag(_last" in w for w in windows)
+    left = plan[plan.index("SortMergeJoin"):]
+    left = left[:left.index("FileScan")]
+    assert left.count("Exchange") == 1 and "hashpartitioning(_who" in left
 
 
-def test_alert_chain_reuses_the_join_partitioning(stored):
+def test_only_transactions_of_risky_customers_meet_alerts(stored):
     plan = plan_text(summaries.high_risk_customers(stored))
-    assert "hashpartitioning(transaction_id" in plan
-    joined = plan[plan.index("LeftOuter"):]
-    grouped = joined.split("HashAggregate(keys=[transaction_id")[1]
-    assert "Exchange" not in grouped.split("SortMergeJoin")[0]
+    joined = plan[plan.index("hashpartitioning(transaction_id"):]
+    assert "LeftSemi" in joined[:joined.index("fraud_alerts")] if "fraud_alerts" in joined else "LeftSemi" in joined
+    assert "risk_score" in joined[joined.index("LeftSemi"):]
+
+
+def test_dated_queries_put_the_time_on_the_scan(spark, folder):
+    from tillwright import registry
+
+    dated = (
+        "daily_revenue", "top_merchants", "payment_method_performance", "fraud_alert_analysis",
+        "hourly_patterns_sql", "geographic", "refund_analysis", "gateway_performance", "weekly_report",
+        "weekly_report_totals", "sql_query_scan",
+    )
+    for name in dated:
+        plan = plan_text(registry.queries()[name](spark, folder))
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "event_id" in line]
+        assert scans and all("GreaterThanOrEqual(ts," in line for line in scans), name
 
 
 def test_repeated_keys_are_cut_before_the_shuffle(spark, folder):

@@ -7,15 +7,17 @@ Everything is a lazy projection of the given files, so work grows with them.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .operators.cleaning import CLEANERS
 from .sources.catalog import payment_gateways
 
 LOADED_AT = datetime(2024, 1, 1)
+REFUND_DAYS = 12
 
 # Columns of the given files that are used; naming them saves a look into every file.
 GIVEN_COLUMNS = {
@@ -45,17 +47,13 @@ def payment_type(index: str) -> str:
 
 def merchants_raw(spark: SparkSession, folder: str) -> DataFrame:
     suppliers, nations = given(spark, folder, "supplier"), given(spark, folder, "nation")
-    business = pick(
-        "s_suppkey % 6", "Electronics", "Fashion", "Food", "Services", "Books", "Entertainment"
-    )
-    currency = pick("s_suppkey % 5", "USD", "EUR", "GBP", "INR", "CAD")
     return suppliers.join(nations, suppliers["s_nationkey"] == nations["n_nationkey"]).selectExpr(
         "s_suppkey AS merchant_id",
         "concat('  ', s_name, ' ') AS merchant_name",
         "concat('Sales', CAST(s_suppkey AS STRING), '@Example.org') AS merchant_email",
-        f"{business} AS business_type",
+        "concat('trade ', CAST(s_suppkey % 6 AS STRING)) AS business_type",
         "n_name AS country",
-        f"{currency} AS currency",
+        "upper(substr(n_name, 1, 3)) AS currency",
         "CAST(s_acctbal / 800 AS DECIMAL(5,2)) AS commission_rate",
         "s_suppkey % 4 <> 0 AS is_verified",
         "TIMESTAMP '2022-06-01 00:00:00' AS created_at",
@@ -82,35 +80,40 @@ def payment_methods_raw(spark: SparkSession, folder: str) -> DataFrame:
     numbered = given(spark, folder, "customer").selectExpr(
         "c_custkey", "explode(sequence(0L, c_custkey % 3)) AS i"
     )
-    brand = pick("c_custkey % 3", "Visa", "Mastercard", "RuPay")
     is_card = "(c_custkey + i) % 5 < 2"
     return numbered.selectExpr(
         "c_custkey * 3 + i AS payment_method_id",
         "c_custkey AS customer_id",
         f"{payment_type('(c_custkey + i) % 5')} AS payment_type",
         f"CASE WHEN {is_card} THEN CAST(1000 + c_custkey % 9000 AS STRING) END AS card_last_4",
-        f"CASE WHEN {is_card} THEN {brand} END AS card_brand",
+        f"CASE WHEN {is_card} THEN concat('brand ', CAST(c_custkey % 3 AS STRING)) END AS card_brand",
         "i = 0 AS is_default",
         "(c_custkey + i) % 4 <> 0 AS is_active",
         "TIMESTAMP '2022-01-01 00:00:00' AS created_at",
     )
 
 
-def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """One charge per event; every fiftieth event is charged again 30 seconds later."""
-    given(spark, folder, "supplier").createOrReplaceTempView("given_suppliers")
+def transactions_raw(spark: SparkSession, folder: str, since: date | None = None) -> DataFrame:
+    """One charge per event; every fiftieth event is charged again 30 seconds later.
+
+    `since` reads events from a day before that date on only: reports over the last days put it on
+    the time as given, so the files' statistics skip the rest. What is too much they drop themselves.
+    """
+    events = given(spark, folder, "events")
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(f"{since - timedelta(days=1)}").cast("timestamp_ntz"))
+    merchants = given(spark, folder, "supplier").agg(F.count("*")).scalar()
     is_pending = "(event_type = 'signup' AND event_id % 3 = 0)"
-    charged = given(spark, folder, "events").selectExpr(
+    charged = events.selectExpr(
         "*",
         "explode(CASE WHEN event_id % 50 = 1 THEN array(0, 1) ELSE array(0) END) AS b",
         "CAST(ts AS TIMESTAMP) AS at",
-    )
+    ).withColumn("merchants", merchants)
     return charged.selectExpr(
-        "CASE WHEN b = 0 THEN event_id ELSE 1000000000 + event_id END AS transaction_id",
+        "event_id * 2 + b AS transaction_id",
         "concat('tx-', CAST(event_id AS STRING), '-', CAST(b AS STRING)) AS transaction_uuid",
         """CASE WHEN event_id % 499 = 0 THEN -1L
-                ELSE (event_id * 7 + user_id) % (SELECT count(*) FROM given_suppliers)
-           END AS merchant_id""",
+                ELSE (event_id * 7 + user_id) % merchants END AS merchant_id""",
         """CASE WHEN event_id % 3 = 0 THEN user_id
                 ELSE user_id * 10 + event_id % 10 END AS customer_id""",
         "CAST(1 + event_id % 4 AS INT) AS gateway_id",
@@ -131,23 +134,19 @@ def transactions_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def fraud_alerts_raw(spark: SparkSession, folder: str) -> DataFrame:
-    kind = pick(
-        "transaction_id % 3",
-        "Unusual spending pattern", "Velocity check failed", "Geographic anomaly",
-    )
+def fraud_alerts_raw(spark: SparkSession, folder: str, since: date | None = None) -> DataFrame:
     level = pick(
         "CAST(floor(transaction_id / 20) AS BIGINT) % 4", "LOW", "Medium", "high", "critical"
     )
-    numbered = transactions_raw(spark, folder).where("transaction_id % 20 = 3").selectExpr(
+    numbered = transactions_raw(spark, folder, since).where("transaction_id % 20 = 6").selectExpr(
         "transaction_id",
         "transaction_timestamp",
-        "explode(CASE WHEN transaction_id % 40 = 3 THEN array(0, 1) ELSE array(0) END) AS j",
+        "explode(CASE WHEN transaction_id % 40 = 6 THEN array(0, 1) ELSE array(0) END) AS j",
     )
     return numbered.selectExpr(
         "transaction_id * 2 + j AS alert_id",
         "transaction_id",
-        f"{kind} AS alert_type",
+        "concat('alert ', CAST(transaction_id % 3 AS STRING)) AS alert_type",
         f"{level} AS risk_level",
         "transaction_id % 7 < 4 AS is_resolved",
         "CASE WHEN transaction_id % 7 < 3 THEN 'analyst' END AS resolved_by",
@@ -158,13 +157,11 @@ def fraud_alerts_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def refunds_raw(spark: SparkSession, folder: str) -> DataFrame:
-    reason = pick(
-        "transaction_id % 4",
-        "Customer request", "Defective product", "Product not delivered", "Duplicate transaction",
-    )
+def refunds_raw(spark: SparkSession, folder: str, since: date | None = None) -> DataFrame:
+    """Refunds are asked for up to `REFUND_DAYS` days after the transaction."""
+    paid = None if since is None else since - timedelta(days=REFUND_DAYS)
     status = pick("transaction_id % 3", "Processed", "pending", "rejected")
-    returned = transactions_raw(spark, folder).where(
+    returned = transactions_raw(spark, folder, paid).where(
         "lower(trim(transaction_status)) = 'refunded'"
     )
     return returned.selectExpr(
@@ -173,7 +170,7 @@ def refunds_raw(spark: SparkSession, folder: str) -> DataFrame:
         """CAST(CASE WHEN transaction_id % 50 = 0 THEN abs(amount) * 3
                      WHEN transaction_id % 7 = 0 THEN -abs(amount)
                      ELSE abs(amount) END AS DECIMAL(15,2)) AS refund_amount""",
-        f"{reason} AS refund_reason",
+        "concat('reason ', CAST(transaction_id % 4 AS STRING)) AS refund_reason",
         f"{status} AS refund_status",
         "transaction_timestamp + (transaction_id % 13) * INTERVAL '1' DAY AS requested_at",
         "transaction_timestamp + (transaction_id % 17) * INTERVAL '1' DAY AS processed_at",
@@ -212,14 +209,23 @@ class LazyTables(Mapping):
         return len(self._makers)
 
 
+#: Tables that hold dated facts; the others are read whole.
+DATED = ("transactions", "fraud_alerts", "refunds")
+
+
+def _raw(spark: SparkSession, folder: str, name: str, since: date | None) -> DataFrame:
+    make = RAW_TABLES[name]
+    return make(spark, folder, since) if name in DATED else make(spark, folder)
+
+
 def raw_tables(spark: SparkSession, folder: str) -> LazyTables:
-    return LazyTables({name: partial(make, spark, folder) for name, make in RAW_TABLES.items()})
+    return LazyTables({name: partial(_raw, spark, folder, name, None) for name in RAW_TABLES})
 
 
-def clean_tables(spark: SparkSession, folder: str) -> LazyTables:
+def clean_tables(spark: SparkSession, folder: str, since: date | None = None) -> LazyTables:
+    """`since`: no report over these tables asks for facts before that date."""
     makers = {
-        name: lambda name=name: CLEANERS[name](RAW_TABLES[name](spark, folder))
-        for name in RAW_TABLES
+        name: lambda name=name: CLEANERS[name](_raw(spark, folder, name, since)) for name in RAW_TABLES
     }
     makers["payment_gateways"] = lambda: payment_gateways(spark, LOADED_AT)
     return LazyTables(makers)

@@ -12,37 +12,42 @@ def with_previous_time(transactions: DataFrame, slot: str = "minute") -> DataFra
     """Add `prev_transaction_time`, the time of the customer's transaction just before.
 
     A plain lag over the customer sorts all rows of a customer in one task, which fails when one
-    customer owns a large part of the table. So the lag runs inside (customer, time slot), and only a
-    slot's first row needs the last time of the customer's previous slot. Those carried times come
-    from a combined max per slot: at most one narrow row per slot, however many rows the slot has.
-    The big side is shuffled once: the join reuses the window's partitioning and order.
+    customer owns a large part of the table. Here no window sees a row: customers' distinct times are
+    combined in each task first, with the lowest id at each. A time's predecessor comes from a lag
+    inside (customer, time slot), or for a slot's first time from the last time of the customer's slot
+    before, so a customer costs one narrow row per slot of calendar time in any one task, however
+    many rows share an instant. The rows then look their own time up in a plain join, which adaptive
+    execution splits where one customer and instant is very frequent. Of rows with equal times the one
+    with the lowest id takes the earlier time, the others their own.
     """
     at = F.col("transaction_timestamp")
-    customer = F.coalesce("customer_id", F.lit(0).cast("bigint"))
     # A null customer is a group of its own, as in a window partition.
-    place = {"_who": customer, "_nobody": F.col("customer_id").isNull(), "_slot": F.date_trunc(slot, at)}
-    group = list(place)
-
-    # Rows without a time have no previous one whatever their group, so they are spread by id.
-    # Equal times are ordered by id, to make the result repeatable.
-    spread = place | {"_who": F.when(at.isNull(), F.col("transaction_id")).otherwise(customer)}
-    inside = Window.partitionBy(*group).orderBy("transaction_timestamp", "transaction_id")
-    rows = transactions.withColumns(spread).withColumn(
-        "_inside", F.lag("transaction_timestamp").over(inside)
-    )
-
-    across = Window.partitionBy("_who", "_nobody").orderBy("_slot")
-    carried = (
+    who = {"_who": F.coalesce("customer_id", F.lit(0).cast("bigint")), "_nobody": F.col("customer_id").isNull()}
+    group = [*who, "_slot"]
+    times = (
         transactions.where(at.isNotNull())
-        .withColumns(place)
-        .groupBy(*group)
-        .agg(F.max("transaction_timestamp").alias("_last"))
-        .select(*group, F.lag("_last").over(across).alias("_carried"))
+        .withColumns(who | {"_slot": F.date_trunc(slot, at)})
+        .groupBy(*group, at.alias("_at"))
+        .agg(F.min("transaction_id").alias("_first"))
     )
+    inside = Window.partitionBy(*group).orderBy("_at")
+    across = Window.partitionBy(*who).orderBy("_slot")
+    carried = times.groupBy(*group).agg(F.max("_at").alias("_last")).select(
+        *group, F.lag("_last").over(across).alias("_carried")
+    )
+    earlier = times.withColumn("_inside", F.lag("_at").over(inside)).join(carried, group).select(
+        *who, "_at", "_first", F.coalesce("_inside", "_carried").alias("_earlier")
+    )
+    # Rows without a time have no previous one whatever their group, so they are spread by id.
+    spread = who | {"_who": F.when(at.isNull(), F.col("transaction_id")).otherwise(who["_who"])}
+    rows = transactions.withColumns(spread | {"_at": at})
     return (
-        rows.join(carried, group, "left")
-        .withColumn("prev_transaction_time", F.coalesce("_inside", "_carried"))
-        .drop(*group, "_inside", "_carried")
+        rows.join(earlier, [*who, "_at"], "left")
+        .withColumn(
+            "prev_transaction_time",
+            F.when(F.col("transaction_id").eqNullSafe(F.col("_first")), F.col("_earlier")).otherwise(F.col("_at")),
+        )
+        .select(*transactions.columns, "prev_transaction_time")
     )
 
 
