@@ -24,8 +24,16 @@ def message(uuid="u1", amount=10.0, at="2024-05-01T10:00:00.123456", **changes):
 
 
 @pytest.fixture
-def parsed(spark):
-    return lambda *texts: messages.parse(spark.createDataFrame([(t,) for t in texts], "value STRING"))
+def received(spark):
+    """Messages in the order they were delivered."""
+    return lambda *texts: spark.createDataFrame(
+        list(enumerate(texts)), f"{messages.POSITION} INT, value STRING"
+    ).select("value", messages.POSITION)
+
+
+@pytest.fixture
+def parsed(received):
+    return lambda *texts: messages.parse(received(*texts))
 
 
 def test_decode(parsed):
@@ -49,7 +57,8 @@ def test_metadata_may_be_missing_or_have_other_keys(parsed):
 @pytest.mark.parametrize("text", [
     "not json", "", "{", "[1]", "null", message(uuid=...), message(amount=...),
     message(amount="much"), message(transaction_status=None), message(at="yesterday-ish"),
-    message(merchant_id="abc"), message(amount=1e20),
+    message(merchant_id="abc"), message(amount=1e20), message(merchant_id=...), message(currency=...),
+    message(gateway_id=...), message(customer_ip=...), message(payment_type=...), message(customer_id=...),
 ])
 def test_unusable_messages_are_kept_apart(parsed, text):
     both = parsed(text, message())
@@ -57,6 +66,11 @@ def test_unusable_messages_are_kept_apart(parsed, text):
     assert messages.decode(both, NOW).count() == 1
 
 
+def test_a_field_that_is_null_is_there(parsed):
+    (row,) = messages.decode(parsed(message(merchant_id=None, customer_ip=None)), NOW).collect()
+    assert row["merchant_id"] is None and row["customer_ip"] is None
+
+
 def test_first_delivery_wins(parsed):
     rows = messages.decode(
         parsed(
@@ -66,7 +80,7 @@ def test_first_delivery_wins(parsed):
         NOW,
     )
     kept = {r["transaction_uuid"]: r["amount"] for r in messages.first_deliveries(rows).collect()}
-    assert kept == {"a": 2, "b": 3}
+    assert kept == {"a": 1, "b": 3}
 
 
 def test_alert_limit_is_strict(parsed):
@@ -87,6 +101,7 @@ def test_encode_then_decode_gives_the_rows_back(spark, folder):
         "transaction_uuid", "merchant_id", "customer_id", "gateway_id", "amount", "currency",
         "transaction_status", "payment_type", "transaction_timestamp",
     ]
+    assert messages.POSITION not in back.columns
     assert back.select(columns).exceptAll(rows.select(columns)).count() == 0
     assert back.count() == rows.count()
 
@@ -104,12 +119,25 @@ def test_probe(spark, tmp_path):
         sources.require_messages(found.where("value = 'y'"))
 
 
+def test_a_slow_probe_is_given_up(spark):
+    slow = spark.range(0, 10**12, 1, 4).where("hash(id) = 1 AND hash(id + 1) = 2").selectExpr("CAST(id AS STRING) AS value")
+    with pytest.raises(TimeoutError):
+        sources.require_messages(slow, seconds=1)
+    assert spark.range(3).count() == 3
+
+
 def test_kafka_options():
     assert sources.kafka_options("h:1", maxOffsetsPerTrigger=500, group=None) == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "payment-transactions",
         "startingOffsets": "earliest", "maxOffsetsPerTrigger": "500",
     }
-    assert sources.kafka_options("h:1")["kafka.group.id"] == "transaction-processor-group"
+    stream = sources.stream_options("h:1")
+    assert stream["kafka.group.id"] == "transaction-processor-group"
+    assert int(stream["maxOffsetsPerTrigger"]) > 0
+    assert "maxOffsetsPerTrigger" not in sources.stream_options("h:1", maxOffsetsPerTrigger=None)
+    probe = sources.probe_options("h:1")
+    assert "kafka.group.id" not in probe and "maxOffsetsPerTrigger" not in probe
+    assert sources.probe_options("h:1", group="own")["kafka.group.id"] == "own"
 
 
 @pytest.fixture
@@ -133,11 +161,11 @@ def run(spark, tmp_path):
 
 
 def amounts(store):
-    return sorted((r["transaction_uuid"], float(r["amount"])) for r in store.stored(None).collect())
+    return sorted((r["transaction_uuid"], float(r["amount"])) for r in store.read("transactions").collect())
 
 
 def alerts(spark, store):
-    return sorted(r["transaction_uuid"] for r in spark.read.parquet(store.alerts).collect())
+    return sorted(r["transaction_uuid"] for r in store.read("fraud_alerts").collect())
 
 
 def test_ingest_end_to_end(spark, run):
@@ -146,8 +174,8 @@ def test_ingest_end_to_end(spark, run):
     run()
     assert amounts(run.store) == [("a", 10.0), ("b", 2000.0), ("c", 1501.0)]
     assert alerts(spark, run.store) == ["b", "c"]
-    bad = spark.read.parquet(run.store.quarantine).collect()
-    assert [r["value"] for r in bad] == ["broken"]
+    bad = run.store.read("quarantine").collect()
+    assert [bytes(r["value"]) for r in bad] == [b"broken"]
 
 
 def test_late_rows_are_not_dropped(run):
@@ -158,8 +186,8 @@ def test_late_rows_are_not_dropped(run):
 
 def test_batch_of_unusable_messages_only(spark, run):
     run(["x", "y"], "1")
-    assert run.store.stored(None) is None
-    assert spark.read.parquet(run.store.quarantine).count() == 2
+    assert amounts(run.store) == [] and alerts(spark, run.store) == []
+    assert run.store.read("quarantine").count() == 2
     run([message("a")], "2")
     assert amounts(run.store) == [("a", 10.0)]
 
@@ -195,19 +223,30 @@ def test_batch_that_failed_between_tables_is_completed(spark, tmp_path, monkeypa
     assert alerts(spark, store) == ["a"]
 
 
-@pytest.mark.parametrize("everything, expected", [(False, 2), (True, 1)])
-def test_uuid_that_returns_under_another_day(spark, tmp_path, everything, expected):
-    store = ingest.FileStore(spark, str(tmp_path), compare_all_days=everything)
-    process = ingest.store_batch(store, lambda: NOW)
-    for number, day in enumerate(("2024-05-01", "2024-05-09")):
-        text = message("a", at=f"{day}T00:00:00")
-        process(spark.createDataFrame([(text,)], "value STRING"), number)
-    assert len(amounts(store)) == expected
+def test_nothing_to_read_before_the_first_batch(spark, tmp_path):
+    store = ingest.FileStore(spark, str(tmp_path))
+    for table in ("transactions", "fraud_alerts", "quarantine", "keys"):
+        assert store.read(table).collect() == []
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_a_uuid_is_stored_once_however_it_returns(received, spark, tmp_path, buckets):
+    """Within a batch, in a later one, under another day, with another amount: the first arrival stays."""
+    deliveries = [
+        message("a", 20, "2024-05-02T00:00:00"), message("b", 1600), message("a", 10, "2024-05-01T00:00:00"),
+        message("b", 5, "2020-01-01T00:00:00"), message("c", 7), message("a", 1900, "2025-01-01T00:00:00"),
+        message("c", 1800), message("d", 1501), message("d", 3),
+    ]
+    for cuts in ((9,), (2, 9), (1, 3, 5, 9), tuple(range(1, 10))):
+        store = ingest.FileStore(spark, str(tmp_path / f"{len(cuts)}"), buckets)
+        process = ingest.store_batch(store, lambda: NOW)
+        for number, (a, b) in enumerate(zip((0, *cuts), cuts)):
+            process(received(*deliveries[a:b]), number)
+        assert amounts(store) == [("a", 20.0), ("b", 1600.0), ("c", 7.0), ("d", 1501.0)]
+        assert alerts(spark, store) == ["b", "d"]
 
 
-@pytest.mark.parametrize("limit", ["MAX_BROADCAST_ROWS", "MAX_NAMED_DAYS"])
-def test_large_batches_take_the_other_way(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(ingest, limit, 1)
+def test_many_rows_in_two_overlapping_batches(spark, tmp_path):
     store = ingest.FileStore(spark, str(tmp_path))
     process = ingest.store_batch(store, lambda: NOW)
     texts = [message(str(n), 1400 + n, f"2024-05-{n % 4 + 1:02d}T00:00:00") for n in range(120)]
@@ -217,6 +256,12 @@ def test_large_batches_take_the_other_way(spark, tmp_path, monkeypatch, limit):
     assert len(alerts(spark, store)) == 19
 
 
+def test_files_are_read_in_the_order_they_came(run):
+    run([message("a", 1), message("a", 2), message("b", 3, "2024-05-09T00:00:00"), message("b", 4)], "1")
+    run([message("b", 5), message("c", 6), message("c", 7)], "2")
+    assert amounts(run.store) == [("a", 1.0), ("b", 3.0), ("c", 6.0)]
+
+
 def test_bounded_state_deduplication(spark, tmp_path):
     inbox = tmp_path / "in"
     inbox.mkdir()
@@ -241,7 +286,7 @@ def test_stream_equals_batch(spark, folder, run, tmp_path):
         (tmp_path / "inbox" / part.name).write_text(part.read_text())
     run()
     batch = messages.first_deliveries(messages.decode(messages.parse(messages.encode(rows)), NOW))
-    stored = run.store.stored(None).select(batch.columns)
+    stored = run.store.read("transactions").select(batch.columns)
     assert stored.exceptAll(batch).count() == batch.exceptAll(stored).count() == 0
     expected = sorted(r[0] for r in messages.high_value_alerts(batch).select("transaction_uuid").collect())
     assert alerts(spark, run.store) == expected
@@ -253,17 +298,14 @@ class Tables:
     def __init__(self, spark, root):
         self.spark, self.root, self.next_id = spark, root, 1
 
-    def read(self, table, days):
+    def read(self, table):
         ddl = {
             "transactions": "transaction_id BIGINT, transaction_uuid STRING, amount DECIMAL(15,2),"
                             " transaction_timestamp TIMESTAMP",
             "fraud_alerts": "transaction_id BIGINT, alert_type STRING, risk_level STRING",
         }[table]
         (self.root / table).mkdir(exist_ok=True)
-        rows = self.spark.read.schema(ddl).parquet(str(self.root / table))
-        if days:
-            rows = rows.where(F.to_date("transaction_timestamp").isin(days))
-        return rows
+        return self.spark.read.schema(ddl).parquet(str(self.root / table))
 
     def append(self, table, rows):
         if table == "transactions":
@@ -277,7 +319,7 @@ def test_database_store(spark, tmp_path):
     tables, kept = Tables(spark, tmp_path), []
     process = ingest.store_batch_in_tables(
         ingest.TableStore(tables.read, tables.append),
-        lambda bad: kept.extend(r["value"] for r in bad.collect()),
+        lambda bad: kept.extend(bytes(r["value"]).decode() for r in bad.collect()),
         lambda: NOW,
     )
     first = spark.createDataFrame(
@@ -286,9 +328,9 @@ def test_database_store(spark, tmp_path):
     second = spark.createDataFrame([(message("a", 1600),), (message("c", 9999),)], "value STRING")
     for batch, number in ((first, 0), (first, 0), (second, 1)):
         process(batch, number)
-    rows = {r["transaction_uuid"]: r["transaction_id"] for r in tables.read("transactions", None).collect()}
+    rows = {r["transaction_uuid"]: r["transaction_id"] for r in tables.read("transactions").collect()}
     assert set(rows) == {"a", "b", "c"} and len(set(rows.values())) == 3
-    alerted = [r["transaction_id"] for r in tables.read("fraud_alerts", None).collect()]
+    alerted = [r["transaction_id"] for r in tables.read("fraud_alerts").collect()]
     assert sorted(alerted) == sorted([rows["a"], rows["c"]])
     assert kept == ["bad", "bad"]
 
@@ -312,15 +354,25 @@ def test_alerts_missing_after_a_failure_are_added(spark, tmp_path):
                 process(batch, 0)
         else:
             process(batch, 0)
-    assert tables.read("transactions", None).count() == 1
-    assert tables.read("fraud_alerts", None).count() == 1
+    assert tables.read("transactions").count() == 1
+    assert tables.read("fraud_alerts").count() == 1
 
 
-def test_keys_query():
-    every = "SELECT transaction_id, alert_type FROM fraud_alerts"
-    assert ingest.keys_query("fraud_alerts", None) == every
-    assert ingest.keys_query("transactions", ["2024-05-02", "2024-05-01"]) == (
-        "SELECT transaction_id, transaction_uuid FROM transactions "
-        "WHERE transaction_timestamp >= DATE '2024-05-01' "
-        "AND transaction_timestamp < DATE '2024-05-02' + INTERVAL '1' DAY"
+def test_alerts_follow_what_is_stored(received, spark, tmp_path):
+    tables = Tables(spark, tmp_path)
+    process = ingest.store_batch_in_tables(
+        ingest.TableStore(tables.read, tables.append), lambda bad: None, lambda: NOW
     )
+    process(received(message("a", 100)), 0)
+    process(received(message("a", 2000), message("b", 1700), message("b", 3)), 1)
+    stored = {r["transaction_uuid"]: float(r["amount"]) for r in tables.read("transactions").collect()}
+    assert stored == {"a": 100.0, "b": 1700.0}
+    assert tables.read("fraud_alerts").count() == 1
+
+
+def test_keys_are_read_in_parts(spark):
+    table, parts = ingest.keys_query("fraud_alerts", 4)
+    assert table == "(SELECT transaction_id, alert_type FROM fraud_alerts) AS compared"
+    rows = spark.createDataFrame([(i,) for i in [*range(-9, 30), None]], "transaction_id BIGINT")
+    counts = [rows.where(part).count() for part in parts]
+    assert len(parts) == 4 and sum(counts) == 40 and min(counts) > 0

@@ -91,8 +91,13 @@ def clean_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: CLEANERS[name](df) if name in CLEANERS else df for name, df in tables.items()}
 
 
-def conform_defaults(table: str, rows: DataFrame, now: datetime) -> DataFrame:
-    """Give rows the table's columns: an absent column gets its default, a present null stays null."""
+def conform_defaults(
+    table: str, rows: DataFrame, now: datetime, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Give rows the table's columns: an absent column gets its default, a present null stays null.
+
+    Columns named in `keep` stay behind the table's own.
+    """
     defaults = COLUMN_DEFAULTS.get(table, {})
     columns = []
     for field in schema(table):
@@ -101,7 +106,7 @@ def conform_defaults(table: str, rows: DataFrame, now: datetime) -> DataFrame:
         else:
             value = _default(defaults.get(field.name), now)
         columns.append(value.cast(field.dataType).alias(field.name))
-    return rows.select(columns)
+    return rows.select(*columns, *keep)
 
 
 def _default(value, now: datetime) -> Column:

@@ -604,8 +604,10 @@ STREAM = {
     "stream_ingest": f"""
         SELECT {MESSAGE}, amount > 1500 AS has_alert FROM transactions""",
     "stream_quarantine": """
-        SELECT props AS value, count(*) AS messages FROM events
-        WHERE event_type = 'error' GROUP BY props""",
+        SELECT CASE event_type WHEN 'error' THEN props
+                    ELSE concat('{"transaction_id":"part-', event_id, '","amount":5,"currency":null}')
+               END AS value, count(*) AS messages
+        FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1""",
 }
 
 STATEMENTS = {**CLEANED, **REPORTS, **INSIGHTS, **RISK, **QUALITY, **SOURCES, **STREAM}

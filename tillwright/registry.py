@@ -291,11 +291,23 @@ def _to_send(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.conform_defaults("transactions", cleaned, datetime(2024, 1, 31))
 
 
-def _with_redelivery(spark: SparkSession, folder: str) -> DataFrame:
-    """Messages of all transactions, those of failed ones delivered twice."""
-    rows = _to_send(spark, folder)
-    again = rows.where("transaction_status = 'failed'")
-    return messages.encode(rows.unionAll(again))
+def _redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Second deliveries of failed transactions, with other amounts and on another day."""
+    failed = _to_send(spark, folder).where("transaction_status = 'failed'")
+    return failed.withColumns({
+        "amount": F.col("amount") + 1000,
+        "transaction_timestamp": F.col("transaction_timestamp") - F.expr("INTERVAL 40 DAYS"),
+    })
+
+
+def _incomplete(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that are JSON but lack fields, and event texts that are no messages at all."""
+    events = fixtures.given(spark, folder, "events")
+    return events.where("event_type = 'error'").select(F.col("props").alias("value")).unionAll(
+        events.where("event_type = 'signup'").select(
+            F.format_string('{"transaction_id":"part-%d","amount":5,"currency":null}', "event_id").alias("value")
+        )
+    )
 
 
 def _decoded(encoded: DataFrame) -> DataFrame:
@@ -307,7 +319,11 @@ def decode_transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    received = _decoded(_with_redelivery(spark, folder))
+    deliveries = [
+        messages.encode(rows).withColumn(messages.POSITION, F.lit(place))
+        for place, rows in enumerate((_to_send(spark, folder), _redelivered(spark, folder)))
+    ]
+    received = _decoded(quality.combine(deliveries))
     return messages.first_deliveries(received).select(*STREAM_COLUMNS)
 
 
@@ -339,11 +355,12 @@ def stream_probe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
-    """Run the stream to its end: redelivered messages, and event texts that are no transactions."""
+    """Run the stream to its end: all messages, then second deliveries and unusable ones."""
     root = scratch_path(spark, "stream")
-    valid = _with_redelivery(spark, folder).select("value")
-    other = spark.read.parquet(f"{folder}/events.parquet").where("event_type = 'error'")
-    valid.unionAll(other.select(F.col("props").alias("value"))).write.text(f"{root}/inbox")
+    sent = messages.encode(_to_send(spark, folder)).select("value")
+    again = messages.encode(_redelivered(spark, folder)).select("value")
+    for part in (sent, again.unionAll(_incomplete(spark, folder))):
+        part.write.mode("append").text(f"{root}/inbox")
     store = ingest.FileStore(spark, f"{root}/store")
     stream = message_sources.file_stream(spark, f"{root}/inbox", max_files=2)
     process = ingest.store_batch(store, lambda: datetime(2024, 1, 31))
@@ -355,11 +372,9 @@ def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     store = _ingested(spark, folder)
-    alerted = spark.read.parquet(store.alerts).select(
-        "transaction_uuid", F.lit(True).alias("has_alert")
-    )
+    alerted = store.read("fraud_alerts").select("transaction_uuid", F.lit(True).alias("has_alert"))
     return (
-        store.stored(None)
+        store.read("transactions")
         .select(*STREAM_COLUMNS)
         .join(alerted, "transaction_uuid", "left")
         .fillna(False, subset=["has_alert"])
@@ -367,10 +382,9 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    store = _ingested(spark, folder)
-    return spark.read.parquet(store.quarantine).groupBy("value").agg(
-        F.count("*").alias("messages")
-    )
+    return _ingested(spark, folder).read("quarantine").groupBy(
+        F.col("value").cast("string").alias("value")
+    ).agg(F.count("*").alias("messages"))
 
 
 FUNCTIONS = (

@@ -74,3 +74,16 @@ def read_by_month(
     return spark.read.jdbc(
         url, table, predicates=month_predicates(column, first, last), properties=properties or {}
     )
+
+
+def hash_predicates(column: str, parts: int) -> list[str]:
+    """Conditions that split a table of whole-number ids into even parts; nulls join the first."""
+    rest = f"mod(abs({column}), {parts})"
+    return [f"({rest} = 0 OR {column} IS NULL)", *[f"({rest} = {i})" for i in range(1, parts)]]
+
+
+def read_split(
+    spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict[str, str] | None = None
+) -> DataFrame:
+    """A table or bracketed query, one task and connection per condition."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})

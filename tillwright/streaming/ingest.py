@@ -13,17 +13,11 @@ from pyspark.sql.types import StructType
 
 from ..schemas import schema
 from ..sinks.database import write_table
-from ..sources.database import read_query
+from ..sources.database import hash_predicates, read_split
 from . import messages as M
 
 DAY = "transaction_date"
-
-# More event days than this in one micro-batch are not named one by one; the store is read whole.
-MAX_NAMED_DAYS = 400
-
-# Uuids of a micro-batch up to this many rows (about 50 bytes each) are sent to every executor;
-# beyond it the stored uuids are shuffled to meet them.
-MAX_BROADCAST_ROWS = 1_000_000
+BUCKET = "bucket"
 
 
 def utc_now() -> datetime:
@@ -36,26 +30,47 @@ def stored_schema() -> StructType:
     return StructType(fields).add(DAY, "date").add("batch_id", "long")
 
 
+TABLES = {
+    "fraud_alerts": "transaction_uuid STRING, alert_type STRING, risk_level STRING, alert_message STRING,"
+                    " is_resolved BOOLEAN, created_at TIMESTAMP, batch_id BIGINT",
+    "quarantine": "value BINARY, batch_id BIGINT",
+    "keys": f"transaction_uuid STRING, {BUCKET} INT, batch_id BIGINT",
+}
+
+
+def table_schema(table: str) -> StructType:
+    return stored_schema() if table == "transactions" else StructType.fromDDL(TABLES[table])
+
+
 class FileStore:
-    """Parquet folders partitioned by event day and micro-batch.
+    """Parquet folders; transactions by event day, and by micro-batch as all the others.
 
     A micro-batch owns the files under its batch number, and writing replaces exactly those. So a
-    batch that is replayed after a failure, even one that failed between the two tables, ends in the
+    batch that is replayed after a failure, even one that failed between the tables, ends in the
     same state as one that ran once.
 
-    A redelivered message carries the same event time, so by default a batch is compared with its own
-    event days only and the cost follows the batch, not the store. `compare_all_days` also rejects a
-    uuid that comes back under another day, at the price of reading every stored uuid per batch.
+    A uuid is stored once, whatever day it comes back under. Uuids are kept a second time, alone, in
+    `buckets` parts by their hash; a batch is compared with the parts its own uuids fall into, as
+    stored by other batches. The number of parts is fixed when a store is begun.
     """
 
-    def __init__(self, spark: SparkSession, root: str, compare_all_days: bool = False):
-        self.spark = spark
-        self.transactions = f"{root}/transactions"
-        self.alerts = f"{root}/fraud_alerts"
-        self.quarantine = f"{root}/quarantine"
-        self.compare_all_days = compare_all_days
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        self.spark, self.root, self.buckets = spark, root, buckets
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def read(self, table: str, below: str = "") -> DataFrame:
+        """A table of the store, or the partitions under a path below it; empty before the first write."""
+        reader = self.spark.read.schema(table_schema(table)).option("basePath", self.path(table))
+        try:
+            return reader.parquet(f"{self.path(table)}{below}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], table_schema(table))
+            raise
 
-    def write(self, rows: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
+    def write(self, rows: DataFrame, table: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
         """Replace the batch's files; rebalancing keeps them few, however many tasks made the rows."""
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -63,49 +78,25 @@ class FileStore:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*by, "batch_id")
-            .parquet(path)
+            .parquet(self.path(table))
         )
 
-    def stored(self, days: list[str] | None) -> DataFrame | None:
-        """Stored transactions, opening only the named event days; None when there are none."""
-        path = self.transactions if days is None else f"{self.transactions}/{DAY}={_any_of(days)}"
-        reader = self.spark.read.schema(stored_schema()).option("basePath", self.transactions)
-        try:
-            return reader.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def unseen(
-        self, rows: DataFrame, batch_id: int, days: list[str] | None, row_count: int
-    ) -> DataFrame:
-        """Rows whose uuid no earlier batch has stored.
+    def bucketed(self, rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("transaction_uuid"), F.lit(self.buckets))
+        return rows.withColumn(BUCKET, part.cast("int"))
 
-        The store is far larger than a batch. While the batch is small enough to broadcast, stored
-        uuids are only scanned for its members and never shuffled.
-        """
-        stored = self.stored(None if self.compare_all_days else days)
-        if stored is None:
+    def unseen(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows whose uuid no other batch has stored."""
+        own = self.bucketed(rows)
+        touched = [str(row[0]) for row in own.select(BUCKET).distinct().collect()]  # `buckets` at most
+        if not touched:
             return rows
-        earlier = stored.where(F.col("batch_id") != batch_id).select("transaction_uuid")
-        if row_count <= MAX_BROADCAST_ROWS:
-            sent = F.broadcast(rows.select("transaction_uuid"))
-            earlier = earlier.join(sent, "transaction_uuid", "left_semi")
-        return rows.join(earlier, "transaction_uuid", "left_anti")
+        known = self.read("keys", f"/{BUCKET}={{{','.join(touched)}}}").where(F.col("batch_id") != batch_id)
+        return own.join(known, [BUCKET, "transaction_uuid"], "left_anti").select(rows.columns)
 
 
-def _any_of(days: list[str]) -> str:
-    return "{" + ",".join(days) + "}"
-
-
-def event_days(rows: DataFrame) -> tuple[list[str] | None, int]:
-    """The event days of a micro-batch, None when there are too many to name, and its row count."""
-    per_day = rows.groupBy(F.col(DAY).cast("string").alias("day")).agg(F.count("*").alias("n"))
-    found = per_day.limit(MAX_NAMED_DAYS + 1).collect()
-    if len(found) > MAX_NAMED_DAYS:
-        return None, rows.count()
-    return [row["day"] for row in found], sum(row["n"] for row in found)
+def _quarantined(parsed: DataFrame) -> DataFrame:
+    return M.malformed(parsed).select(F.col("value").cast("binary").alias("value"))
 
 
 def store_batch(
@@ -114,26 +105,23 @@ def store_batch(
     """The foreachBatch function for a FileStore."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = M.parse(batch).persist()
+        parsed = M.parse(M.numbered(batch)).persist()
         rows = (
             M.first_deliveries(M.decode(parsed, now()))
             .withColumn(DAY, F.to_date("transaction_timestamp"))
             .persist()
         )
+        # Compared with other batches only, so these are the same rows whenever they are made again.
+        fresh = store.unseen(rows, batch_id).persist()
         try:
-            store.write(M.malformed(parsed), store.quarantine, batch_id)
-            days, row_count = event_days(rows)
-            if row_count:
-                fresh = store.unseen(rows, batch_id, days, row_count)
-                store.write(fresh, store.transactions, batch_id, (DAY,))
+            store.write(_quarantined(parsed), "quarantine", batch_id)
+            store.write(fresh, "transactions", batch_id, (DAY,))
+            keys = store.bucketed(fresh).select("transaction_uuid", BUCKET)
+            store.write(keys, "keys", batch_id, (BUCKET,))
+            store.write(M.high_value_alerts(fresh), "fraud_alerts", batch_id)
         finally:
-            rows.unpersist()
-            parsed.unpersist()
-        # Alerts come from the stored rows, so both tables agree whatever happened in between.
-        written = store.stored(days) if row_count else None
-        if written is not None:
-            own = written.where(F.col("batch_id") == batch_id)
-            store.write(M.high_value_alerts(own), store.alerts, batch_id)
+            for frame in (fresh, rows, parsed):
+                frame.unpersist()
 
     return run
 
@@ -141,30 +129,27 @@ def store_batch(
 class TableStore:
     """Tables of a database that numbers transactions itself.
 
-    `read(table, days)` gives the stored rows of the named event days (all when None) and
-    `append(table, rows)` adds rows. Appends cannot be replaced, so a replayed batch is compared with
-    what its first attempt stored: transactions by uuid, alerts by transaction and type.
-
-    A database that enforces unique uuids would fail the whole batch on one that returns under
-    another day, so all stored uuids are compared unless `compare_all_days` is off.
+    `read(table)` gives the columns of `COMPARED_COLUMNS` of all stored rows and `append(table, rows)`
+    adds rows. Appends cannot be replaced, so a replayed batch is compared with what its first
+    attempt stored: transactions by uuid, alerts by transaction and type. Alerts are raised on
+    what is stored under the batch's uuids, not on what a later delivery of them says.
     """
 
     def __init__(
-        self,
-        read: Callable[[str, list[str] | None], DataFrame],
-        append: Callable[[str, DataFrame], None],
-        compare_all_days: bool = True,
+        self, read: Callable[[str], DataFrame], append: Callable[[str, DataFrame], None]
     ):
         self.read = read
         self.append = append
-        self.compare_all_days = compare_all_days
-
-    def store(self, rows: DataFrame, days: list[str] | None) -> None:
-        known = self.read("transactions", None if self.compare_all_days else days)
-        fresh = rows.drop(DAY).join(known.select("transaction_uuid"), "transaction_uuid", "left_anti")
-        self.append("transactions", fresh)
-        numbered = M.with_stored_ids(M.high_value_alerts(rows), self.read("transactions", days))
-        raised = self.read("fraud_alerts", None).select("transaction_id", "alert_type")
+
+    def store(self, rows: DataFrame) -> None:
+        uuids = rows.select("transaction_uuid")
+        known = self.read("transactions").select("transaction_uuid").join(
+            uuids, "transaction_uuid", "left_semi"
+        )
+        self.append("transactions", rows.drop(DAY).join(known, "transaction_uuid", "left_anti"))
+        stored = self.read("transactions").join(uuids, "transaction_uuid", "left_semi")
+        numbered = M.with_stored_ids(M.high_value_alerts(stored), stored)
+        raised = self.read("fraud_alerts").select("transaction_id", "alert_type")
         self.append(
             "fraud_alerts",
             numbered.drop("transaction_uuid").join(
@@ -173,37 +158,31 @@ class TableStore:
         )
 
 
+COMPARED_COLUMNS = {
+    "transactions": "transaction_id, transaction_uuid, amount",
+    "fraud_alerts": "transaction_id, alert_type",
+}
+
+
 def database_store(
-    spark: SparkSession,
-    url: str,
-    properties: dict[str, str] | None = None,
-    compare_all_days: bool = True,
+    spark: SparkSession, url: str, properties: dict[str, str] | None = None, connections: int = 16
 ) -> TableStore:
-    """A TableStore over JDBC; event days become a condition the database evaluates."""
+    """A TableStore over JDBC; keys are read over `connections` connections, in parts by the id."""
 
-    def read(table: str, days: list[str] | None) -> DataFrame:
-        return read_query(spark, url, keys_query(table, days), properties)
+    def read(table: str) -> DataFrame:
+        return read_split(spark, url, *keys_query(table, connections), properties)
 
     def append(table: str, rows: DataFrame) -> None:
-        write_table(rows, url, table, "append", properties)
-
-    return TableStore(read, append, compare_all_days)
+        write_table(rows, url, table, "append", properties, connections)
 
-
-COMPARED_COLUMNS = {
-    "transactions": "transaction_id, transaction_uuid",
-    "fraud_alerts": "transaction_id, alert_type",
-}
+    return TableStore(read, append)
 
 
-def keys_query(table: str, days: list[str] | None) -> str:
-    """SQL for a table's keys, between the first and last named event day if any."""
-    query = f"SELECT {COMPARED_COLUMNS[table]} FROM {table}"
-    if not days:
-        return query
-    at = "transaction_timestamp"
+def keys_query(table: str, parts: int) -> tuple[str, list[str]]:
+    """(SQL for a table's keys, conditions that split it evenly by transaction id)."""
     return (
-        f"{query} WHERE {at} >= DATE '{min(days)}' AND {at} < DATE '{max(days)}' + INTERVAL '1' DAY"
+        f"(SELECT {COMPARED_COLUMNS[table]} FROM {table}) AS compared",
+        hash_predicates("transaction_id", parts),
     )
 
 
@@ -215,17 +194,15 @@ def store_batch_in_tables(
     """The foreachBatch function for a TableStore."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = M.parse(batch).persist()
+        parsed = M.parse(M.numbered(batch)).persist()
         rows = (
             M.first_deliveries(M.decode(parsed, now()))
             .withColumn(DAY, F.to_date("transaction_timestamp"))
             .persist()
         )
         try:
-            quarantine(M.malformed(parsed).withColumn("batch_id", F.lit(batch_id)))
-            days, row_count = event_days(rows)
-            if row_count:
-                store.store(rows, days)
+            quarantine(_quarantined(parsed).withColumn("batch_id", F.lit(batch_id)))
+            store.store(rows)
         finally:
             rows.unpersist()
             parsed.unpersist()

@@ -18,8 +18,18 @@ MESSAGE_SCHEMA = """
     timestamp STRING, gateway_id INT, metadata STRING"""
 # End of fixed values.
 
+# Fields a message must have, if only as null; metadata may be missing.
+REQUIRED_FIELDS = (
+    "transaction_id", "merchant_id", "customer_id", "gateway_id", "amount", "currency",
+    "transaction_status", "payment_type", "customer_ip", "timestamp",
+)
+# End of fixed values.
+
 CORRUPT = "_corrupt"
 
+# Where a message stands in its source; sources add it, and earlier means delivered earlier.
+POSITION = "_position"
+
 
 def message_key(customer_id: Column) -> Column:
     return F.concat(F.lit(rules.MESSAGE_KEY_PREFIX), customer_id.cast("string"))
@@ -42,15 +52,24 @@ def encode(transactions: DataFrame) -> DataFrame:
         F.try_parse_json("metadata").alias("metadata"),
     )
     return transactions.select(
-        message_key(F.col("customer_id")).alias("key"), F.to_json(body).alias("value")
+        message_key(F.col("customer_id")).alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value")
     )
 
 
+def numbered(batch: DataFrame) -> DataFrame:
+    """A micro-batch whose positions also tell the lines of one file apart, by their order in a task."""
+    if POSITION not in batch.columns:
+        return batch
+    place = F.struct(F.col(POSITION).alias("source"), F.monotonically_increasing_id().alias("row"))
+    return batch.withColumn(POSITION, place)
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """Messages with their parsed fields in `m` and whether they can be stored in `is_usable`.
 
-    Without an id, amount, status or readable time a message is no transaction row; it is kept for
-    quarantine instead of stopping the stream.
+    A message that lacks a field (metadata apart), or has no id, amount, status or readable time, is
+    no transaction row; it is kept for quarantine instead of stopping the stream. A field that is
+    there and null is a null.
     """
     schema = f"{MESSAGE_SCHEMA}, {CORRUPT} STRING"
     text = F.col("value").cast("string")
@@ -60,8 +79,12 @@ def parse(messages: DataFrame) -> DataFrame:
         F.array(F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT}))
     )
     at = F.col("m.timestamp").try_cast("timestamp")
+    required = F.array(*[F.lit(name) for name in REQUIRED_FIELDS])
+    # A second, cheap look at the text: the parsed value no longer tells a missing field from a null.
+    lacking = F.size(F.array_except(required, F.json_object_keys(text)))
     usable = (
         F.col(f"m.{CORRUPT}").isNull()
+        & (lacking == 0)
         & F.col("m.transaction_id").isNotNull()
         & F.col("m.amount").isNotNull()
         & F.col("m.transaction_status").isNotNull()
@@ -80,7 +103,9 @@ def decode(parsed: DataFrame, now: datetime) -> DataFrame:
     There is no transaction_id: numbering belongs to the database, and a file store keys on the
     uuid. A 64-bit hash would repeat at this table's size.
     """
+    position = tuple(c for c in parsed.columns if c == POSITION)
     rows = parsed.where("is_usable").select(
+        *position,
         F.col("m.transaction_id").alias("transaction_uuid"),
         "m.merchant_id",
         "m.customer_id",
@@ -94,13 +119,19 @@ def decode(parsed: DataFrame, now: datetime) -> DataFrame:
         F.col("m.timestamp").try_cast("timestamp").alias("transaction_timestamp"),
         F.coalesce("m.metadata", F.lit("{}")).alias("metadata"),
     )
-    return conform_defaults("transactions", rows, now).drop("transaction_id")
+    return conform_defaults("transactions", rows, now, position).drop("transaction_id")
 
 
 def first_deliveries(rows: DataFrame) -> DataFrame:
-    """One row per uuid, the earliest; for a batch or one micro-batch."""
-    order = [F.col("transaction_timestamp"), F.col("customer_id"), F.col("amount")]
-    return first_per_key(rows, "transaction_uuid", order)
+    """One row per uuid, the one delivered first; for a batch or one micro-batch.
+
+    That is the one with the least position in the source, whatever its event time, so the outcome
+    does not depend on where a batch ends. Rows without a position, or with the same one, are told
+    apart by a hash of their content, which at least repeats.
+    """
+    position = [F.col(c) for c in rows.columns if c == POSITION]
+    content = F.xxhash64(*[c for c in rows.columns if c != POSITION])
+    return first_per_key(rows, "transaction_uuid", [*position, content]).drop(POSITION)
 
 
 def deduplicate_stream(rows: DataFrame, horizon: str = "1 day") -> DataFrame:
@@ -109,7 +140,7 @@ def deduplicate_stream(rows: DataFrame, horizon: str = "1 day") -> DataFrame:
     Like any watermark it also drops rows more than `horizon` late. Use it where that is wanted;
     ingest compares with the store instead and loses nothing.
     """
-    return rows.withWatermark("transaction_timestamp", horizon).dropDuplicatesWithinWatermark(
+    return rows.drop(POSITION).withWatermark("transaction_timestamp", horizon).dropDuplicatesWithinWatermark(
         ["transaction_uuid"]
     )
 
