@@ -50,6 +50,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch at most, but for a single longer row. A task holds several batches on either side.
+ARROW_BYTES = 4 << 20
+
+
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """`mapInArrow` over batches of at most `ARROW_BYTES` bytes.
+
+    The limit is a setting of the session and stays set, as plans are made only when they run.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
+    return df.mapInArrow(function, schema)
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id (null included) is among `ids.doc_id`, columns unchanged."""
     names, at = docs.columns, position(docs, "doc_id")

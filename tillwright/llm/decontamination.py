@@ -184,7 +184,7 @@ def find_overlaps(
                     [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
                 )
 
-        found = plain.mapInArrow(search, FOUND)
+        found = common.in_arrow(plain, search, FOUND)
         result = found if result is None else result.union(found)
     return spark.createDataFrame([], FOUND) if result is None else result
 
@@ -204,5 +204,5 @@ def decontaminate(
                 keep = [not block.overlaps(text.as_py()) for text in batch.column(at)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
-        rows = rows.mapInArrow(clean, rows.schema)
+        rows = common.in_arrow(rows, clean, rows.schema)
     return rows.toDF(*names)

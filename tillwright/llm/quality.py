@@ -257,4 +257,4 @@ def score(docs: DataFrame, net: Network, folds: int = 4, fold: int = 2, threshol
         F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().cast("binary").alias("text"),
         held_out(F.col("doc_id"), folds, fold).alias("held_out"),
     )
-    return plain.mapInArrow(rate, "doc_id BIGINT, held_out BOOLEAN, score DOUBLE, predicted INT")
+    return common.in_arrow(plain, rate, "doc_id BIGINT, held_out BOOLEAN, score DOUBLE, predicted INT")

@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     plain = common.pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().cast("binary").alias("text")
     )
-    return plain.mapInArrow(compute, "doc_id BIGINT, fp BIGINT")
+    return common.in_arrow(plain, compute, "doc_id BIGINT, fp BIGINT")
 
 
 def ring(segments: int) -> list[int]:

@@ -117,4 +117,4 @@ def token_counts(
         "CAST(doc_id AS BIGINT) AS doc_id", "coalesce(text, '') AS text",
         "CAST(octet_length(coalesce(text, '')) AS BIGINT) AS n_bytes",
     )
-    return plain.mapInArrow(count, "doc_id BIGINT, n_bytes BIGINT, n_tokens BIGINT, over_limit BOOLEAN")
+    return common.in_arrow(plain, count, "doc_id BIGINT, n_bytes BIGINT, n_tokens BIGINT, over_limit BOOLEAN")

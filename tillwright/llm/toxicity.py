@@ -164,7 +164,7 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, train_rows: int = 6000,
+    docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, train_rows: int = 4000,
     counterfactual: float = 1.0, groups=GROUPS,
 ) -> Model:
     """A model fitted on at most `train_rows` labelled texts outside the held-out fold."""
@@ -196,7 +196,7 @@ def train(
                 [batch.column("doc_id"), pa.array(own, out[1].type), pa.array(swapped, out[2].type),
                  batch.column("toxic")], schema=out)
 
-    sample = texts.mapInArrow(extract, schema).toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
+    sample = common.in_arrow(texts, extract, schema).toArrow().sort_by([("doc_id", "ascending")]).combine_chunks()
     own = sample["own"]
     lengths = pc.list_value_length(own).to_numpy()
     return fit(
@@ -227,7 +227,7 @@ def score(docs: DataFrame, model: Model, folds: int = 5, fold: int = 0, threshol
     plain = common.pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id"), folds, fold).alias("held_out")
     )
-    return plain.mapInArrow(rate, "doc_id BIGINT, held_out BOOLEAN, score DOUBLE, predicted INT")
+    return common.in_arrow(plain, rate, "doc_id BIGINT, held_out BOOLEAN, score DOUBLE, predicted INT")
 
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -242,4 +242,4 @@ def reject_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataF
             keep = [own.score(t.as_py()) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(clean, rows.schema).toDF(*names)
+    return common.in_arrow(rows, clean, rows.schema).toDF(*names)

@@ -103,7 +103,7 @@ def arc_archives(pages: DataFrame, date: str = "19990101000000", archive_bytes:
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         common.whole_text("html").cast("binary").alias("html"),
     )
-    return plain.mapInArrow(pack, "content BINARY")
+    return common.in_arrow(plain, pack, "content BINARY")
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -191,7 +191,7 @@ def arc_records(archives: DataFrame, narrow: bool = False) -> DataFrame:
                     [pa.array(columns[i], f[1]) for i, f in zip(use, fields)], schema=schema
                 )
 
-    return archives.mapInArrow(parse, ddl)
+    return common.in_arrow(archives, parse, ddl)
 
 
 def convert(archives: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -301,8 +301,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield _batch(rows, schema)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInArrow(
-        parse, "record_id STRING, record_type STRING, url STRING, warc_date STRING, number BIGINT, payload_bytes BIGINT,"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    return common.in_arrow(
+        files, parse, "record_id STRING, record_type STRING, url STRING, warc_date STRING, number BIGINT, payload_bytes BIGINT,"
         " payload_digest STRING, refers_to_id STRING, payload BINARY"
     )
 
