@@ -99,3 +99,35 @@ def test_load_goes_parents_first_without_derived_columns(spark, folder):
 def test_load_some_tables(spark):
     frames = {"transactions": spark.range(1), "merchants": spark.range(1)}
     assert sinks.load_tables(frames, lambda n, df: None) == ["merchants", "transactions"]
+
+
+def test_replacing_everything_truncates_through_references(monkeypatch):
+    from tillwright.sinks import database
+
+    seen = []
+
+    class Frame:
+        def drop(self, *columns):
+            return self
+
+    monkeypatch.setattr(database, "write_table", lambda *a, **k: seen.append((a[2], a[3], k["cascade"])))
+    database.load_database({name: Frame() for name in LOAD_ORDER}, "jdbc:x")
+    assert seen == [(name, "replace", True) for name in LOAD_ORDER]
+    seen.clear()
+    database.load_database({"merchants": Frame()}, "jdbc:x")
+    assert seen == [("merchants", "replace", False)]
+
+
+def test_cascade_is_asked_for_only_when_replacing():
+    class Frame:
+        write = Recorder()
+
+    for mode, wanted in (("replace", "true"), ("append", None)):
+        sinks.write_table(Frame, "jdbc:x", "merchants", mode, cascade=True)
+        assert Frame.write.calls["options"].get("cascadeTruncate") == wanted
+
+
+def test_hash_parts_cover_every_row_once(spark):
+    parts = sources.hash_predicates("id", 5)
+    rows = spark.createDataFrame([(i,) for i in [*range(-20, 50), None]], "id BIGINT")
+    assert sum(rows.where(p).count() for p in parts) == 71

@@ -110,3 +110,35 @@ def test_raw_csv_set_can_be_cleaned(spark, tmp_path):
     assert [r["amount"] for r in rows] == [Decimal("3.50"), Decimal("4.00")]
     assert [r["processed_timestamp"] for r in rows] == [None, None]
     assert rows[0]["transaction_status"] == "success"
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    folder = tmp_path / "refunds.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("refund_id,transaction_id,refund_reason\n1,2,x\n")
+    (folder / "b.csv").write_text("refund_id,refund_reason,transaction_id\n3,y,4\n")
+    with pytest.raises(Exception, match="header"):
+        sources.read_csv(spark, str(folder), "refunds").collect()
+
+
+def test_blanks_empty_texts_and_nulls_survive(spark, tmp_path):
+    rows = [(1, "  padded  "), (2, ""), (3, None), (4, "\ttab"), (5, '"q" , x')]
+    df = spark.createDataFrame(rows, "refund_id BIGINT, refund_reason STRING")
+    sinks.write_csv_tables({"refunds": df}, str(tmp_path))
+    back = sources.read_csv_tables(spark, str(tmp_path), ("refunds",), processed=True)["refunds"]
+    assert sorted((r[0], r[1]) for r in back.collect()) == rows
+
+
+def test_months_are_replaced_one_by_one(spark, tmp_path):
+    def month(amount, *days):
+        return spark.createDataFrame(
+            [(amount, day) for day in days], "amount INT, at STRING"
+        ).selectExpr("amount", "CAST(at AS TIMESTAMP) AS transaction_timestamp")
+
+    path = str(tmp_path / "months")
+    sinks.write_months(month(1, "2026-01-05", "2026-01-06"), path)
+    sinks.write_months(month(2, "2026-02-01"), path)
+    sinks.write_months(month(3, "2026-02-02"), path)
+    assert sorted(r["amount"] for r in sources.read_months(spark, path).collect()) == [1, 1, 3]
+    sinks.write_months(month(4, "2026-03-01"), path, whole_store=True)
+    assert [r["amount"] for r in sources.read_months(spark, path).collect()] == [4]

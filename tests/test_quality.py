@@ -168,3 +168,38 @@ def test_texts_with_quotes_survive(make):
     odd = "it's a \\ test"
     report = quality.tally(rows, odd, [quality.Tally("c", "v", "info", F.count("*"), odd)])
     assert (report.first()["table"], report.first()["detail"]) == (odd, odd)
+
+
+def test_nothing_to_check_is_an_empty_report(spark):
+    rows = spark.range(3)
+    for report in (
+        quality.check_nulls(rows, "t", ("absent",)), quality.check_duplicates(rows, "t", ("absent",)),
+        quality.check_value_ranges(rows, "t", {"absent": (0, 1)}), quality.check_data_types(rows, "t", {"absent": "int"}),
+        quality.check_nulls(rows, "t", ()), quality.config_gates({"customers": rows}, quality.Suite(required={})),
+    ):
+        assert report.collect() == []
+        assert report.columns == ["check", "table", "column", "severity", "bad_count", "detail"]
+
+
+def test_a_suite_without_tallies_runs(spark, folder):
+    tables = fixtures.clean_tables(spark, folder)
+    suite = quality.Suite(required={}, unique={}, ranges={}, references=(), detect_anomalies=False)
+    names = {r["check"] for r in quality.check(tables, date(2024, 1, 31), suite).collect()}
+    assert names == {"invalid_risk", "nonpositive_amount", "future_timestamp", "success_unprocessed", "excess_refund"}
+
+
+def test_a_wrong_type_is_told_from_the_schema(spark):
+    rows = spark.createDataFrame([(None, 1)], "a STRING, b BIGINT").where("b = 2")
+    found = quality.check_data_types(rows, "t", {"a": "bigint", "b": "bigint"}).collect()
+    assert [(r["column"], r["bad_count"]) for r in found] == [("a", 1), ("b", 0)]
+
+
+def test_orphans_and_failures_share_one_count(spark, folder):
+    tables = fixtures.clean_tables(spark, folder)
+    rows = tables["transactions"]
+    both = {r["check"]: r["bad_count"] for r in quality.check_customers(rows, tables["customers"]).collect()}
+    apart = quality.combine([
+        quality.check_referential_integrity(rows, tables["customers"], "customer_id", "customer_id", "x"),
+        quality.check_failed_customers(rows),
+    ])
+    assert both == {r["check"]: r["bad_count"] for r in apart.collect()}

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -42,6 +42,7 @@ REFERENCES = (
     ("payment_methods", "customer_id", "customers", "customer_id"),
 )
 # End of fixed values.
+CUSTOMER_REFERENCE = ("transactions", "customer_id", "customers", "customer_id")
 
 
 @dataclass(frozen=True)
@@ -85,8 +86,19 @@ def _report_line(
     )
 
 
+# Columns of a report.
+CHECK_ROW = "`check` STRING, `table` STRING, `column` STRING, severity STRING, bad_count BIGINT, detail STRING"
+
+
+def no_checks(session: SparkSession) -> DataFrame:
+    """The report of nothing: no rows, with the columns of any other."""
+    return session.createDataFrame([], CHECK_ROW)
+
+
 def tally(df: DataFrame, table: str, tallies: list[Tally]) -> DataFrame:
     """All tallies of a table in one aggregation, one output row each."""
+    if not tallies:
+        return no_checks(df.sparkSession)
     counts = df.agg(*[t.bad.alias(f"n{i}") for i, t in enumerate(tallies)])
     lines = ", ".join(
         _report_line(t.check, table, t.column, t.severity, f"n{i}", t.detail)
@@ -205,7 +217,7 @@ def check_duplicates(df: DataFrame, table: str, columns: Iterable[str]) -> DataF
 
     One narrow pass per column: several distinct counts in one pass would multiply every row.
     """
-    frames = []
+    frames = [no_checks(df.sparkSession)]
     for c in columns:
         if c in df.columns:
             extra = df.groupBy(c).agg((F.count("*") - 1).alias("n")).agg(F.sum("n"))
@@ -214,14 +226,16 @@ def check_duplicates(df: DataFrame, table: str, columns: Iterable[str]) -> DataF
 
 
 def check_data_types(df: DataFrame, table: str, expected: Mapping[str, str]) -> DataFrame:
-    """Values held under a type whose name does not contain the expected one."""
-    tallies = []
+    """1 for a column whose type's name does not contain the expected one, whatever its rows hold.
+
+    A question about the table's schema, so no row is read.
+    """
+    rows = []
     for c, wanted in expected.items():
         if c in df.columns:
             actual = df.schema[c].dataType.simpleString()
-            wrong = F.lit(0) if wanted in actual else F.count(F.col(c))
-            tallies.append(Tally("types", c, WARNING, wrong, f"expected {wanted}, found {actual}"))
-    return tally(df, table, tallies)
+            rows.append(("types", table, c, WARNING, int(wanted not in actual), f"expected {wanted}, found {actual}"))
+    return df.sparkSession.createDataFrame(rows, CHECK_ROW)
 
 
 def check_referential_integrity(
@@ -289,6 +303,27 @@ def high_amount_tally(transactions: DataFrame) -> Tally:
     )
 
 
+def check_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orphaned customer ids and customers with many failures, from one count per customer id."""
+    per_customer = transactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.count_if(X.has_status(rules.FAILED)).alias("failed")
+    )
+    known = customers.select("customer_id", F.lit(True).alias("known")).distinct()
+    counts = per_customer.join(known, "customer_id", "left").agg(
+        F.count_if(F.col("known").isNull()).alias("orphans"),
+        F.count_if(F.col("failed") > rules.MAX_FAILED_PER_CUSTOMER).alias("failing"),
+    )
+    lines = ", ".join([
+        _report_line(
+            "referential", "transactions -> customers", "customer_id", ERROR, "orphans", "keys without a parent"
+        ),
+        _report_line(
+            "failed_customers", "transactions", "customer_id", WARNING, "failing", "customers with many failures"
+        ),
+    ])
+    return counts.selectExpr(f"inline(array({lines}))")
+
+
 def check_failed_customers(transactions: DataFrame) -> DataFrame:
     many = failed_customers(transactions).agg(F.count("*").alias("n"))
     return _line(
@@ -315,21 +350,26 @@ def check(
         counted["transactions"] += [high_amount_tally(tables["transactions"]), odd_hours()]
     frames = [tally(tables[name], name, tallies) for name, tallies in counted.items()]
     frames += [check_duplicates(tables[name], name, cols) for name, cols in suite.unique.items()]
-    for child, child_key, parent, parent_key in suite.references:
+    references = list(suite.references)
+    frames.append(check_excess_refunds(tables))
+    if suite.detect_anomalies:
+        if CUSTOMER_REFERENCE in references:
+            references.remove(CUSTOMER_REFERENCE)
+            frames.append(check_customers(tables["transactions"], tables["customers"]))
+        else:
+            frames.append(check_failed_customers(tables["transactions"]))
+    for child, child_key, parent, parent_key in references:
         frames.append(
             check_referential_integrity(
                 tables[child], tables[parent], child_key, parent_key, f"{child} -> {parent}"
             )
         )
-    frames.append(check_excess_refunds(tables))
-    if suite.detect_anomalies:
-        frames.append(check_failed_customers(tables["transactions"]))
     return combine(frames)
 
 
 def config_gates(tables: Mapping[str, DataFrame], suite: Suite = Suite()) -> DataFrame:
     """Configured limits on null shares and on the success rate."""
-    frames = []
+    frames = [no_checks(next(iter(tables.values())).sparkSession)]
     for name, columns in suite.required.items():
         tallies = null_gate_tallies(tables[name], columns, suite.max_null_percentage)
         if name == "transactions":

@@ -499,7 +499,7 @@ QUALITY = {
         line("types", "transactions", "transaction_timestamp", "warning", "SELECT 0",
              "expected timestamp, found timestamp"),
         line("types", "transactions", "metadata", "warning",
-             "SELECT count(metadata) FROM transactions_raw", "expected struct, found string"),
+             "SELECT 1", "expected struct, found string"),
     ]),
     "dq_ranges": union([
         outside("customers", "risk_score", 0, 100, "customers_raw"),
@@ -549,6 +549,16 @@ TRANSACTION_ROW = """
     CAST(amount AS DOUBLE) AS amount, currency, transaction_status, payment_type,
     transaction_timestamp, processed_timestamp, metadata"""
 
+def _doubles(source: str, table: str) -> str:
+    """All rows of a table, decimals and 32-bit numbers as the comparison takes them."""
+    replaced = {
+        "merchants": "CAST(commission_rate AS DOUBLE) AS commission_rate",
+        "customers": "CAST(risk_score AS BIGINT) AS risk_score",
+        "refunds": "CAST(refund_amount AS DOUBLE) AS refund_amount",
+    }.get(table)
+    return f"SELECT * {f'REPLACE ({replaced})' if replaced else ''} FROM {source}"
+
+
 SOURCES = {
     "csv_scan": f"SELECT {TRANSACTION_ROW} FROM transactions_raw",
     "csv_sink": f"""
@@ -558,6 +568,20 @@ SOURCES = {
         SELECT {TRANSACTION_ROW} FROM transactions
         WHERE transaction_timestamp >= TIMESTAMP '2024-01-10'""",
     "dated_backup": "SELECT * REPLACE (CAST(refund_amount AS DOUBLE) AS refund_amount) FROM refunds",
+    **{
+        f"csv_scan_{table}": _doubles(f"{table}_raw", table)
+        for table in ("merchants", "customers", "payment_methods", "fraud_alerts", "refunds")
+    },
+    **{
+        f"{query}_{table}": _doubles(table, table)
+        for query in ("csv_sink", "dated_backup")
+        for table in ("merchants", "customers", "payment_methods", "fraud_alerts", "refunds")
+        if (query, table) != ("dated_backup", "refunds")
+    },
+    "dated_backup_transactions": f"""
+        SELECT {TRANSACTION_ROW}, transaction_hour, transaction_day_of_week, transaction_month,
+               processing_time_seconds FROM transactions""",
+    "monthly_store": f"SELECT {TRANSACTION_ROW} FROM transactions",
     "load_order": """
         SELECT 'merchants' AS table_name, 1 AS position, count(*) AS row_count FROM merchants
         UNION ALL SELECT 'customers', 2, count(*) FROM customers

@@ -65,7 +65,7 @@ def store_processed(cleaned: Tables, folder: str) -> None:
     """Cleaned tables as Parquet, transactions by month."""
     others = {name: table for name, table in cleaned.items() if name != "transactions"}
     write_parquet_tables(others, folder)
-    write_months(cleaned["transactions"], f"{folder}/transactions")
+    write_months(cleaned["transactions"], f"{folder}/transactions", whole_store=True)
 
 
 def read_processed(spark: SparkSession, folder: str, as_of: date) -> Tables:

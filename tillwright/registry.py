@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import date, datetime, timedelta
+from functools import partial
 from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
@@ -185,40 +186,43 @@ def _quality() -> dict[str, Query]:
 
 # Sources and sinks: write to the shared folder, read back.
 
-def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+def csv_scan(spark: SparkSession, folder: str, table: str = "transactions") -> DataFrame:
     path = scratch_path(spark, "raw")
-    raw = fixtures.raw_tables(spark, folder)["transactions"]
-    raw.write.options(header=True, quote='"', escape='"').option(
-        "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(
-        f"{path}/transactions.csv"
-    )
-    rows = file_sources.read_csv_tables(spark, path, ("transactions",))["transactions"]
-    return rows.withColumns({
-        name: F.col(name).cast("timestamp")
-        for name in ("transaction_timestamp", "processed_timestamp")
-    })
+    raw = fixtures.raw_tables(spark, folder)[table]
+    file_sinks.write_csv_tables({table: raw}, path, processed=False)
+    rows = file_sources.read_csv_tables(spark, path, (table,))[table]
+    times = [f.name for f in raw.schema if f.dataType.simpleString() in file_sources.RAW_TEXT_TYPES]
+    return rows.withColumns({name: F.col(name).cast(raw.schema[name].dataType) for name in times})
 
 
-def csv_sink(spark: SparkSession, folder: str) -> DataFrame:
+def csv_sink(spark: SparkSession, folder: str, table: str = "transactions") -> DataFrame:
     path = scratch_path(spark, "processed")
-    cleaned = fixtures.clean_tables(spark, folder)["transactions"]
-    file_sinks.write_csv_tables({"transactions": cleaned}, path)
-    return file_sources.read_csv_tables(spark, path, ("transactions",), processed=True)["transactions"]
+    file_sinks.write_csv_tables({table: fixtures.clean_tables(spark, folder)[table]}, path)
+    return file_sources.read_csv_tables(spark, path, (table,), processed=True)[table]
 
 
-def monthly_partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
+def _stored_months(spark: SparkSession, folder: str) -> str:
+    """A store written in two runs; the second replaces a month and leaves the others."""
     path = scratch_path(spark, "months")
-    cleaned = fixtures.clean_tables(spark, folder)["transactions"]
-    file_sinks.write_months(cleaned.drop(*database.DERIVED_TRANSACTION_COLUMNS), path)
-    return file_sources.read_months(spark, path, since=date(2024, 1, 10))
+    rows = fixtures.clean_tables(spark, folder)["transactions"].drop(*database.DERIVED_TRANSACTION_COLUMNS)
+    file_sinks.write_months(rows, path)
+    late = F.col("transaction_timestamp") >= F.lit("2024-01-01").cast("timestamp")
+    file_sinks.write_months(rows.where(late), path)
+    return path
+
+
+def monthly_partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
+    return file_sources.read_months(spark, _stored_months(spark, folder), since=date(2024, 1, 10))
+
+
+def monthly_store(spark: SparkSession, folder: str) -> DataFrame:
+    return file_sources.read_months(spark, _stored_months(spark, folder))
 
 
-def dated_backup(spark: SparkSession, folder: str) -> DataFrame:
+def dated_backup(spark: SparkSession, folder: str, table: str = "refunds") -> DataFrame:
     path = scratch_path(spark, "backups")
-    refunds = fixtures.clean_tables(spark, folder)["refunds"]
-    file_sinks.write_backup({"refunds": refunds}, path, AS_OF)
-    return spark.read.parquet(f"{path}/backup_date={AS_OF}/refunds")
+    file_sinks.write_backup({table: fixtures.clean_tables(spark, folder)[table]}, path, AS_OF)
+    return spark.read.parquet(f"{path}/backup_date={AS_OF}/{table}")
 
 
 def load_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -388,7 +392,7 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 FUNCTIONS = (
-    csv_scan, csv_sink, monthly_partitioned_sink, dated_backup, load_order, sql_query_scan,
+    csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, sql_query_scan,
     gateway_literals, table_views, decode_transactions, stream_dedup, stream_fraud_alerts,
     stream_alert_lookup, stream_publish, stream_probe, stream_ingest, stream_quarantine,
 )
@@ -397,6 +401,10 @@ FUNCTIONS = (
 def queries() -> dict[str, Query]:
     named = {**_cleaners(), **_reports(), **_risk(), **_quality()}
     named |= {function.__name__: function for function in FUNCTIONS}
+    # The file queries take one table at a time; the plain names stand for their default table.
+    for query, usual in ((csv_scan, "transactions"), (csv_sink, "transactions"), (dated_backup, "refunds")):
+        others = [table for table in fixtures.RAW_TABLES if table != usual]
+        named |= {f"{query.__name__}_{table}": partial(query, table=table) for table in others}
 
     def registered(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,11 +21,16 @@ def write_table(
     properties: dict[str, str] | None = None,
     connections: int | None = None,
     batch_size: int = 10_000,
+    cascade: bool = False,
 ) -> None:
-    """A table over at most `connections` connections (by default one per partition)."""
+    """A table over at most `connections` connections (by default one per partition).
+
+    `cascade` empties the tables that refer to a replaced one as well: a database may refuse to
+    truncate a parent otherwise.
+    """
     options = jdbc_options(
         url, properties, dbtable=table, numPartitions=connections, batchsize=batch_size,
-        truncate="true",
+        truncate="true", cascadeTruncate="true" if cascade and if_exists == "replace" else None,
     )
     df.write.format("jdbc").mode(SAVE_MODES[if_exists]).options(**options).save()
 
@@ -54,7 +59,14 @@ def load_database(
     properties: dict[str, str] | None = None,
     connections: int | None = None,
 ) -> list[str]:
+    """Load the tables, parents first.
+
+    Replacing a parent empties its children, so all tables have to be loaded again with it; with some
+    only, a replaced parent is left to the database to accept or refuse.
+    """
+    everything = set(LOAD_ORDER) <= set(tables)
+
     def write(name: str, df: DataFrame) -> None:
-        write_table(df, url, name, if_exists, properties, connections)
+        write_table(df, url, name, if_exists, properties, connections, cascade=everything)
 
     return load_tables(tables, write)

@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 from ..schemas import MONTH
 
 
-def write_csv_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Every table as `<table>_processed.csv`, quoted so that JSON text survives a read."""
+def write_csv_tables(tables: Mapping[str, DataFrame], folder: str, processed: bool = True) -> None:
+    """Every table as `<table>_processed.csv` (`<table>.csv` if raw).
+
+    Quoted so that JSON text survives a read, and with the blanks values begin or end with, which
+    Spark's writer would strip.
+    """
+    ending = "_processed.csv" if processed else ".csv"
     for name, table in tables.items():
         (
             table.write.mode("overwrite")
             .options(header=True, quote='"', escape='"')
+            .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
             .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-            .csv(f"{folder}/{name}_processed.csv")
+            .csv(f"{folder}/{name}{ending}")
         )
 
 
@@ -27,9 +33,11 @@ def write_parquet_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
         table.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def write_months(transactions: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_months(transactions: DataFrame, path: str, whole_store: bool = False) -> None:
     """Transactions in one folder per calendar month.
 
+    Months among the rows are replaced, others stay; `whole_store` leaves nothing of what was there.
+
     The rebalance hint groups rows by month and lets AQE cut a large month into several tasks and
     join small ones, so a month is neither one huge file nor a file from every task. Rows are in
     time order inside a file, which lets a date filter skip row groups within a month.
@@ -39,7 +47,8 @@ def write_months(transactions: DataFrame, path: str, mode: str = "overwrite") ->
         transactions.withColumn(MONTH, month)
         .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "transaction_timestamp")
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if whole_store else "dynamic")
         .partitionBy(MONTH)
         .parquet(path)
     )

@@ -19,11 +19,18 @@ def read_csv(
 ) -> DataFrame:
     """A headered CSV file or folder, columns matched by header name.
 
-    Only the header line is read to learn the column order; types come from the data model, so there
-    is no inference pass over the data. Quotes inside quoted values are doubled, as in JSON metadata.
-    `multiline` accepts line breaks inside values, but such files cannot be split between tasks.
+    Only one header line is read to learn the column order; types come from the data model, so there
+    is no inference pass over the data. A file of the folder whose header is another one fails the
+    read instead of being misread. Blanks around values are kept. Quotes inside quoted values are
+    doubled, as in JSON metadata. `multiline` accepts line breaks inside values, but such files
+    cannot be split between tasks.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+    options = {
+        "header": True, "quote": '"', "escape": '"', "multiLine": multiline, "enforceSchema": False,
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+        # No text is this value, so nothing between two commas is null and "" stays an empty text.
+        "nullValue": "\0",
+    }
     header = spark.read.options(**options).csv(path).columns
     fields = []
     for name in header:
