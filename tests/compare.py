@@ -34,12 +34,23 @@ def _plain(value):
     return value
 
 
-def spark_rows(df: DataFrame) -> tuple[list[str], list[tuple]]:
+def rows_as_given(df: DataFrame) -> tuple[list[str], list[tuple]]:
     names = sorted(df.columns)
-    rows = [tuple(_plain(row[name]) for name in names) for row in df.collect()]
+    return names, [tuple(_plain(row[name]) for name in names) for row in df.collect()]
+
+
+def spark_rows(df: DataFrame) -> tuple[list[str], list[tuple]]:
+    names, rows = rows_as_given(df)
     return names, sorted(rows, key=_key)
 
 
+def sql_as_given(connection, statement: str) -> tuple[list[str], list[tuple]]:
+    result = connection.execute(statement)
+    columns = [d[0] for d in result.description]
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], [tuple(_plain(row[i]) for i in order) for row in result.fetchall()]
+
+
 def sql_rows(connection, statement: str) -> tuple[list[str], list[tuple], dict[str, str]]:
     result = connection.execute(statement)
     columns = [d[0] for d in result.description]

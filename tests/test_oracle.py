@@ -1,9 +1,11 @@
 """Every registered query equals its SQL in an independent engine."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as contract
-from tests.compare import connect, difference
+from tests.compare import connect, difference, rows_as_given, sql_as_given
 from tillwright import registry
 from tillwright.oracle.queries import all_statements
 
@@ -30,5 +32,16 @@ def test_equals_sql(spark, duck, folder, name):
     assert difference(QUERIES[name](spark, folder), duck, STATEMENTS[name]) is None
 
 
+# Statements that end in an order; all of them name an id or a unique value last, so it is total.
+ORDERED = sorted(name for name, sql in STATEMENTS.items() if re.search(r"ORDER BY [^()]*$", sql))
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_rows_come_in_the_stated_order(spark, duck, folder, name):
+    names, rows = rows_as_given(QUERIES[name](spark, folder))
+    other_names, other_rows = sql_as_given(duck, STATEMENTS[name])
+    assert (names, rows) == (other_names, other_rows)
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0

@@ -33,13 +33,13 @@ def payment_type_distribution(tables: Tables) -> DataFrame:
 def _distribution(rows: DataFrame, column: str, label, name: str) -> DataFrame:
     """Rows per value and their share of all rows; nulls have no line but stay in the whole.
 
-    The whole is summed over the finished groups, which are as few as the values.
+    The whole is a sum of its own over the finished groups, so they need not meet in one task, however
+    many values there are.
     """
-    whole = F.sum("count").over(Window.partitionBy())
+    counted = rows.groupBy(column).agg(F.count("*").alias("count"))
+    whole = counted.agg(F.sum("count")).scalar()
     return (
-        rows.groupBy(column)
-        .agg(F.count("*").alias("count"))
-        .withColumn("pct", X.percent(F.col("count"), whole))
+        counted.withColumn("pct", X.percent(F.col("count"), whole))
         .where(F.col(column).isNotNull())
         .select(label(F.col(column)).alias(name), "count", "pct")
         .orderBy(F.desc("count"), name)
