@@ -198,13 +198,13 @@ def gradients(net: Network, texts: list[bytes], labels: np.ndarray, weights: np.
     ]
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 32, rate: float = 4e-3, seed: int = 7) -> Network:
-    """Adam over shuffled batches; both classes weigh the same, steps shrink to a tenth at the end."""
+def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 32, rate: float = 4e-3, seed: int = 7, balance: float = 0.0) -> Network:
+    """Adam over shuffled batches, steps shrinking to a tenth; `balance` 1 lets both classes weigh the same."""
     net, dice = Network.fresh(seed), np.random.default_rng(seed)
     if not len(texts):
         return net
     share = min(max(float(labels.mean()), 1e-3), 1 - 1e-3)
-    weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
+    weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) ** balance
     first = [np.zeros_like(p) for p in net.parts()]
     second = [np.zeros_like(p) for p in net.parts()]
     steps, step = epochs * -(-len(texts) // batch), 0
@@ -222,7 +222,7 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 3
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, train_rows: int = 2000, epochs: int = 8,
+    docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, train_rows: int = 4000, epochs: int = 8,
 ) -> Network:
     """A network trained on at most `train_rows` labelled texts outside the held-out fold."""
     chosen = common.pick(labels, "doc_id", "quality").filter(
