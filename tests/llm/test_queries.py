@@ -11,8 +11,8 @@ from tillwright.llm.common import read_table, written
 QUERIES = queries.queries()
 
 
-def test_all_ten_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+def test_all_are_registered():
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
@@ -21,7 +21,7 @@ def test_equals_sql(spark, folder, name):
     assert difference(QUERIES[name](spark, folder), connect(folder), queries.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", ["op1_toxicity", "op4_token_counts", "op7_quality", "op8_simhash"])
+@pytest.mark.parametrize("name", ["op1_toxicity", "op4_token_counts", "op7_quality", "op8_simhash", "op12_line_dedup"])
 def test_one_row_per_document(spark, folder, name):
     found = [r.doc_id for r in QUERIES[name](spark, folder).collect()]
     assert sorted(found) == sorted(r.doc_id for r in read_table(spark, folder, "documents").collect())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact, mixing, passages, quality, simhash, tokens, toxicity, warc
+from . import chat, decontamination, exact, lines, mixing, passages, quality, simhash, tokens, toxicity, warc
 from ..session import scratch_path
 from .common import read_table
 
@@ -60,6 +60,10 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(read_table(spark, folder, "conversations"))
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_counts(read_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
@@ -158,6 +162,25 @@ CHATS = r"""
     FROM kept k JOIN marked m ON k.conv_id IS NOT DISTINCT FROM m.conv_id
     GROUP BY ALL"""
 
+LINES = r"""
+    WITH split AS (
+        SELECT row, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
+        FROM (SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+              FROM documents)),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM split),
+    shared AS (
+        SELECT key, max(doc_id) AS keep_id FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+    SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines,
+           count(*) FILTER (WHERE k.doc_id <> s.keep_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (
+               WHERE s.keep_id IS NULL OR k.doc_id = s.keep_id), '')) AS kept_sha256
+    FROM keyed k LEFT JOIN shared s USING (key)
+    GROUP BY k.row"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -165,4 +188,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": WARC,
         "op6_mixing": MIXING,
         "op10_chat_formatting": CHATS,
+        "op12_line_dedup": LINES,
     }
