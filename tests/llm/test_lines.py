@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import plan_text
-from tillwright.llm import lines
+from tillwright.llm import common, lines
 
 LONG = "This line is long enough to count."
 ODD = [
@@ -104,11 +104,11 @@ def test_hot_lines_and_repeated_rows_are_spread(spark, docs, monkeypatch):
     assert found(lines.line_counts(df)) == expected(rows)
     hashed = lines.line_hashes(df, 20)
     counts = hashed.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_rows"))
-    heavy = lines.heavy_keys(counts, hashed.count())
+    heavy = common.heavy_keys(counts, hashed.count())
     assert heavy.count() == 1
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        met = lines.spread_join(hashed, counts.drop("n_rows"), ["h1", "h2"], heavy, "inner")
+        met = common.spread_join(hashed, counts.drop("n_rows"), ["h1", "h2"], heavy, "inner")
         sizes = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")

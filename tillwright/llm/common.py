@@ -79,3 +79,35 @@ def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return numbered(docs).join(
         unwanted, F.col(f"_c{at}").eqNullSafe(F.col("_unwanted")), "left_anti"
     ).toDF(*names)
+
+
+def hash_pair(*columns: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes with different seeds; nulls change neither."""
+    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
+
+
+#: A key is heavy with more than one in so many of all rows.
+HEAVY = 1000
+#: Tasks over which the rows of a heavy key are dealt.
+PARTS = 256
+
+
+def spread_join(rows: DataFrame, single: DataFrame, keys: list[str], heavy: DataFrame, how: str) -> DataFrame:
+    """`rows` joined with `single`, which has one row per key; the rows of heavy keys are dealt over `PARTS`.
+
+    `heavy` holds the keys, as `heavy_keys` finds them. A key with more than one row in `HEAVY` is heavy, so there are
+    fewer than `HEAVY` of them whatever the size of the table, and their list can be broadcast.
+    """
+    marked = F.broadcast(heavy.select(*keys, F.lit(True).alias("_heavy")))
+    part = F.when(
+        F.col("_heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+    ).otherwise(0)
+    parts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    left = rows.join(marked, keys, "left").withColumn("_part", part).drop("_heavy")
+    right = single.join(marked, keys, "left").withColumn("_part", F.explode(parts)).drop("_heavy")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
+
+
+def heavy_keys(counts: DataFrame, total: int) -> DataFrame:
+    """Of (keys, n_rows) those that hold more than one in `HEAVY` of `total` rows."""
+    return counts.where(F.col("n_rows") * HEAVY > total).drop("n_rows")

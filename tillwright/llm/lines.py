@@ -5,9 +5,7 @@ over the threshold are dropped, and the rest is reassembled by position. Only ha
 step, in which every text meets the positions it loses. Lines met fewer times than the threshold cannot be in that
 many documents, so documents are counted only for the others.
 
-A line, or one document repeated, may hold a third of all rows. Keys with more than one row in
-`HEAVY` of a table are told apart first: there are fewer than `HEAVY` of them whatever the size of the table, so that
-list can be broadcast, and their rows are dealt over `PARTS` parts in a join.
+A line, or one document repeated, may hold a third of all rows: `common.spread_join` deals their rows over many tasks.
 """
 
 from __future__ import annotations
@@ -20,21 +18,12 @@ from . import common
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII white space, as characters.
 STRIPPED = " \t\n\x0b\x0c\r"
-#: A key is heavy with more than one in so many of all rows.
-HEAVY = 1000
-#: Tasks over which the rows of a heavy key are dealt.
-PARTS = 256
 
 
 def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(STRIPPED)), UPPER, LOWER)
 
 
-def hash_pair(*columns: Column) -> tuple[Column, Column]:
-    """Two 64-bit hashes with different seeds; nulls change neither."""
-    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
-
-
 def split_lines(text: Column) -> Column:
     return F.split(text, "\n")
 
@@ -44,7 +33,7 @@ def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
 
     d1 and d2 stand for id and text, so rows repeated in full are one document here as they are in the result.
     """
-    d1, d2 = hash_pair(F.col("doc_id"), F.col("text"))
+    d1, d2 = common.hash_pair(F.col("doc_id"), F.col("text"))
     exploded = common.pick(docs, "doc_id", "text").select("doc_id", common.whole_text().alias("text")).select(
         "doc_id", d1.alias("d1"), d2.alias("d2"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line")
     )
@@ -52,32 +41,12 @@ def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
     keyed = exploded.where(F.length("line") >= least_chars).select(
         "doc_id", "d1", "d2", "pos", F.explode(F.array(line_key(F.col("line")))).alias("key")
     )
-    h1, h2 = hash_pair(F.col("key"))
+    h1, h2 = common.hash_pair(F.col("key"))
     return keyed.where(F.length("key") >= least_chars).select(
         "doc_id", "d1", "d2", "pos", h1.alias("h1"), h2.alias("h2")
     )
 
 
-def spread_join(rows: DataFrame, single: DataFrame, keys: list[str], heavy: DataFrame, how: str) -> DataFrame:
-    """`rows` joined with `single`, which has one row per key; the rows of heavy keys are dealt over `PARTS`.
-
-    `heavy` holds the keys, fewer than `HEAVY` of them.
-    """
-    marked = F.broadcast(heavy.select(*keys, F.lit(True).alias("_heavy")))
-    part = F.when(
-        F.col("_heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
-    ).otherwise(0)
-    parts = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    left = rows.join(marked, keys, "left").withColumn("_part", part).drop("_heavy")
-    right = single.join(marked, keys, "left").withColumn("_part", F.explode(parts)).drop("_heavy")
-    return left.join(right, [*keys, "_part"], how).drop("_part")
-
-
-def heavy_keys(counts: DataFrame, total: int) -> DataFrame:
-    """Of (keys, n_rows) those that hold more than one in `HEAVY` of `total` rows."""
-    return counts.where(F.col("n_rows") * HEAVY > total).drop("n_rows")
-
-
 def dropped_lines(docs: DataFrame, least_chars: int, least_docs: int) -> tuple[DataFrame, DataFrame]:
     """((d1, d2, gone): positions a document loses, in order; heavy documents (d1, d2))."""
     lines = common.written(line_hashes(docs, least_chars), "lines")
@@ -87,7 +56,7 @@ def dropped_lines(docs: DataFrame, least_chars: int, least_docs: int) -> tuple[D
         "met",
     )
     often = common.written(
-        spread_join(lines, met.drop("n_rows"), ["h1", "h2"], heavy_keys(met, total), "inner"), "often"
+        common.spread_join(lines, met.drop("n_rows"), ["h1", "h2"], common.heavy_keys(met, total), "inner"), "often"
     )
     # All null ids are one document, less than any other.
     n_docs = F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))
@@ -97,8 +66,8 @@ def dropped_lines(docs: DataFrame, least_chars: int, least_docs: int) -> tuple[D
         ).where(F.col("n_docs") >= least_docs).drop("n_docs"),
         "common_lines",
     )
-    lost = spread_join(
-        often, common_lines.drop("n_rows"), ["h1", "h2"], heavy_keys(common_lines, total), "inner"
+    lost = common.spread_join(
+        often, common_lines.drop("n_rows"), ["h1", "h2"], common.heavy_keys(common_lines, total), "inner"
     ).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     gone = lost.groupBy("d1", "d2").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     # Repeated rows give a position as often as they are repeated.
@@ -122,9 +91,9 @@ def _cleaned(docs: DataFrame, doc_id: str, text: str, least_chars: int, least_do
         raise ValueError("least_docs must be at least 1")
     gone, repeated = dropped_lines(docs, least_chars, least_docs)
     total = common.pick(docs, "doc_id").count()
-    d1, d2 = hash_pair(F.col(doc_id), common.whole_text(text))
+    d1, d2 = common.hash_pair(F.col(doc_id), common.whole_text(text))
     rows = docs.withColumns({"d1": d1, "d2": d2})
-    met = spread_join(rows, gone, ["d1", "d2"], heavy_keys(repeated, total), "left")
+    met = common.spread_join(rows, gone, ["d1", "d2"], common.heavy_keys(repeated, total), "left")
     lines = split_lines(common.whole_text(text))
     return met.withColumn("_lines", lines).withColumn(
         "_kept",

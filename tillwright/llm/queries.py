@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, exact, lines, mixing, passages, quality, simhash, tokens, toxicity, warc
+from . import chat, codes, decontamination, exact, lines, mixing, passages, quality, simhash, tokens, toxicity, warc
 from ..session import scratch_path
 from .common import read_table
 
@@ -60,6 +60,10 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(read_table(spark, folder, "conversations"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.vector_codes(read_table(spark, folder, "embeddings"))
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_counts(read_table(spark, folder, "documents"))
 
@@ -162,6 +166,50 @@ CHATS = r"""
     FROM kept k JOIN marked m ON k.conv_id IS NOT DISTINCT FROM m.conv_id
     GROUP BY ALL"""
 
+# The nearest entry is min(distance * 256 + entry): the smaller index wins a tie.
+OWN = """
+    own{i} AS MATERIALIZED (
+        SELECT vec_id, label, p, x, best % 256 AS e, best // 256 AS d
+        FROM (SELECT vec_id, any_value(label) AS label, v.p, any_value(x) AS x,
+                     min((list_inner_product(x, x) - 2 * list_inner_product(x, c)
+                          + list_inner_product(c, c))::BIGINT * 256 + e) AS best
+              FROM parts v JOIN book{i} b ON v.p = b.p GROUP BY vec_id, v.p))"""
+
+BOOK = """
+    book{j} AS MATERIALIZED (
+        SELECT b.p, b.e, coalesce(m.c, b.c) AS c
+        FROM book{i} b LEFT JOIN (
+            SELECT p, e, list(mean ORDER BY k) AS c
+            FROM (SELECT p, e, k, floor(sum(v) / count(*)) AS mean
+                  FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS k FROM own{i})
+                  GROUP BY p, e, k)
+            GROUP BY p, e) m ON m.p = b.p AND m.e = b.e)"""
+
+CODES = """
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS ints
+        FROM embeddings
+        WHERE len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+        SELECT vec_id, label, p, ints[p * (len(ints) // 4) + 1:(p + 1) * (len(ints) // 4)] AS x
+        FROM kept, range(4) AS t(p)),
+    book0 AS MATERIALIZED (
+        SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+        QUALIFY e < 256),""" + "".join(
+    OWN.format(i=i) + "," + BOOK.format(i=i, j=i + 1) + "," for i in range(4)
+) + OWN.format(i=4) + """,
+    digest AS (
+        SELECT sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY p, e, k)) AS codebooks_sha256
+        FROM (SELECT p, e, unnest(c) AS v, generate_subscripts(c, 1) AS k FROM book4)),
+    coded AS (
+        SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+               sum(d)::BIGINT AS error
+        FROM own4 GROUP BY vec_id)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           codebooks_sha256
+    FROM coded, digest"""
+
 LINES = r"""
     WITH split AS (
         SELECT row, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos
@@ -188,5 +236,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_warc": WARC,
         "op6_mixing": MIXING,
         "op10_chat_formatting": CHATS,
+        "op11_vector_codes": CODES,
         "op12_line_dedup": LINES,
     }
