@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, codes, decontamination, exact, lines, mixing, passages, quality, simhash, tokens, toxicity, warc
+from . import chat, codes, decontamination, exact, lines, mixing, negatives, passages, quality, simhash, tokens, toxicity, warc
 from ..session import scratch_path
 from .common import read_table
 
@@ -68,6 +69,12 @@ def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_counts(read_table(spark, folder, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
@@ -229,6 +236,27 @@ LINES = r"""
     FROM keyed k LEFT JOIN shared s USING (key)
     GROUP BY k.row"""
 
+NEGATIVES = """
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS ints
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS MATERIALIZED (
+        SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+               list_inner_product(a.ints, b.ints)::BIGINT AS score
+        FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT anchor_id, positive_id, positive_score, other AS negative_id, score AS negative_score,
+           (row_number() OVER best)::INT AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER best <= 10
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -238,4 +266,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_chat_formatting": CHATS,
         "op11_vector_codes": CODES,
         "op12_line_dedup": LINES,
+        "op13_hard_negatives": NEGATIVES,
     }
