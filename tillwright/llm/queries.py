@@ -254,8 +254,8 @@ NEGATIVES = """
            (row_number() OVER best)::INT AS rank
     FROM positives JOIN scored USING (anchor_id)
     WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
-    QUALIFY row_number() OVER best <= 10
-    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)"""
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+    QUALIFY row_number() OVER best <= 10"""
 
 
 def oracle_sql() -> dict[str, str]:
