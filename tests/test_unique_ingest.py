@@ -1,0 +1,223 @@
+"""Keyed state in the stream, and merging of closed days."""
+
+import os
+from datetime import date, datetime
+
+import pytest
+
+from tests.compare import plan_text
+from tests.test_streaming import NOW, message
+from tillwright.sinks import folders
+from tillwright.streaming import ingest, sources
+
+LATER = date(2030, 1, 1)
+
+
+@pytest.fixture
+def stream(spark, tmp_path):
+    """Files in, one micro-batch each; a call runs the stream to its end."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+
+    def go(*files, checkpoint="checkpoint", store=None, **options):
+        for name, texts in files:
+            (inbox / name).write_text("\n".join(texts) + "\n")
+            os.utime(inbox / name, (1_700_000_000 + int(name),) * 2)  # in this order, whatever the clock's steps
+        query = ingest.start_unique_ingest(
+            sources.file_stream(spark, str(inbox), max_files=1), store or go.store, str(tmp_path / checkpoint),
+            lambda: NOW, available_now=True, **options,
+        )
+        query.awaitTermination()
+        return query
+
+    go.store = ingest.FileStore(spark, str(tmp_path / "store"))
+    return go
+
+
+def amounts(store):
+    return sorted((r["transaction_uuid"], float(r["amount"])) for r in store.read("transactions").collect())
+
+
+def alerts(store):
+    return sorted(r["transaction_uuid"] for r in store.read("fraud_alerts").collect())
+
+
+def test_a_uuid_is_stored_once_over_files_and_restarts(stream):
+    stream(
+        ("1", [message("a", 20, "2024-05-02T00:00:00"), message("b", 1600), message("a", 10), "broken"]),
+        ("2", [message("b", 5, "2020-01-01T00:00:00"), message("c", 7), "{}"]),
+    )
+    stream(("3", [message("c", 1800), message("a", 1900, "2025-01-01T00:00:00"), message("d", 1501), message("d", 3)]))
+    stream()
+    assert amounts(stream.store) == [("a", 20.0), ("b", 1600.0), ("c", 7.0), ("d", 1501.0)]
+    assert alerts(stream.store) == ["b", "d"]
+    bad = sorted(bytes(r["value"]) for r in stream.store.read("quarantine").collect())
+    assert bad == [b"broken", b"{}"]
+
+
+def test_an_unusable_delivery_does_not_take_the_uuid(stream):
+    stream(("1", [message("a", amount=...)]), ("2", [message("a", 5)]))
+    assert amounts(stream.store) == [("a", 5.0)]
+
+
+def test_the_plan_has_a_state_operator_and_reads_no_store(stream):
+    query = stream(("1", [message("a"), message("b")]), ("2", [message("b"), message("c")]))
+    (state,) = query.lastProgress["stateOperators"]
+    assert state["operatorName"] == "dedupe"
+    assert state["numRowsTotal"] == 3 and state["numRowsUpdated"] == 1
+    assert any(name.startswith("rocksdb") for name in state["customMetrics"])
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    assert "StreamingDeduplicate" in plan and "store" not in plan
+
+
+def test_a_batch_costs_the_same_however_much_is_stored(spark, tmp_path):
+    """Bytes that ten equal batches read through the file system."""
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    for number in range(10):
+        texts = [message(f"{number:03d}-{n:05d}" * 3, 5) for n in range(400)]
+        (inbox / f"{number:02d}").write_text("\n".join(texts) + "\n")
+        os.utime(inbox / f"{number:02d}", (1_700_000_000 + number,) * 2)
+    store, seen = ingest.FileStore(spark, str(tmp_path / "store")), []
+    process = ingest.store_new(store, lambda: NOW)
+
+    def run(batch, batch_id):
+        process(batch, batch_id)
+        seen.append(files.getGlobalStorageStatistics().get("file").getLong("bytesRead"))
+
+    for key, value in ingest.STATE.items():
+        spark.conf.set(key, value)
+    stream = ingest.M.with_new_uuids(sources.file_stream(spark, str(inbox), max_files=1))
+    ingest.start_ingest(stream, run, str(tmp_path / "checkpoint"), available_now=True).awaitTermination()
+    per_batch = [b - a for a, b in zip(seen, seen[1:])]
+    assert len(amounts(store)) == 4000
+    assert sum(per_batch[-3:]) < 1.2 * sum(per_batch[1:4]), per_batch
+
+
+def test_a_replayed_batch_changes_nothing(spark, stream, tmp_path):
+    stream(("1", [message("a", 1600)]), ("2", [message("a", 5), message("b", 7)]))
+    before = (amounts(stream.store), alerts(stream.store))
+    # The commit of the last batch is lost: the stream runs it again on the state before it.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    stream()
+    assert (amounts(stream.store), alerts(stream.store)) == before
+
+
+def test_a_store_is_not_run_with_another_checkpoint(stream):
+    stream(("1", [message("a")]))
+    with pytest.raises(ValueError, match="does not know"):
+        stream(checkpoint="new")
+
+
+# Compaction.
+
+def batch_of(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value STRING")
+
+
+@pytest.fixture
+def filled(spark, tmp_path):
+    """Three batches over three days; batch 2 is the one that may still be replayed."""
+    store = ingest.FileStore(spark, str(tmp_path / "store"))
+    process = ingest.store_batch(store, lambda: NOW)
+    store.batches = [
+        batch_of(spark, *[
+            message(f"{number}-{day}", 1500 + number, f"2024-05-0{day}T00:00:00") for day in (1, 2, 3)
+        ], f"bad {number}")
+        for number in range(3)
+    ]
+    for number, rows in enumerate(store.batches):
+        process(rows, number)
+    store.process = process
+    store.all = (amounts(store), alerts(store), store.read("quarantine").count())
+    return store
+
+
+def state(store):
+    return (amounts(store), alerts(store), store.read("quarantine").count())
+
+
+def test_closed_days_are_merged_and_the_rest_stays(filled):
+    done = filled.compact(2, date(2024, 5, 3))
+    assert done["transactions"] == ["2024-05-01", "2024-05-02"]
+    assert state(filled) == filled.all
+    left = {day: sorted(batches) for day, batches in filled.folders("transactions").items()}
+    assert left == {"2024-05-01": [2], "2024-05-02": [2], "2024-05-03": [0, 1, 2]}
+    assert filled.compact(2, date(2024, 5, 3))["transactions"] == []
+    # Late rows for a merged day: in their own folder, then merged with the rest.
+    filled.process(batch_of(filled.spark, message("late", 3, "2024-05-01T05:00:00")), 3)
+    assert ("late", 3.0) in amounts(filled)
+    filled.compact(4, date(2024, 5, 3))
+    assert amounts(filled) == sorted([*filled.all[0], ("late", 3.0)])
+    assert "2024-05-01" not in filled.folders("transactions")
+    merged = folders.matching(filled.spark, filled.path("merged/transactions/transaction_date=2024-05-01/upto=*"))
+    assert [path.rsplit("=", 1)[1] for path in merged] == ["3"]
+
+
+def test_alerts_and_quarantine_are_merged_by_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "BLOCK_BATCHES", 2)
+    store = ingest.FileStore(spark, str(tmp_path / "store"))
+    for number in range(5):
+        rows = spark.createDataFrame([(bytes([number]),)], "value BINARY")
+        store.write(rows, "quarantine", number)
+    done = store.compact(4, LATER)
+    assert done["quarantine"] == ["0", "1"]
+    assert {part: sorted(b) for part, b in store.folders("quarantine").items()} == {"2": [4]}
+    found = store.read("quarantine").select("value", "block", "batch_id").collect()
+    assert sorted((bytes(r.value), r.block, r.batch_id) for r in found) == [(bytes([n]), n // 2, n) for n in range(5)]
+
+
+# The merged files, a mark per day, then two batch folders per day.
+@pytest.mark.parametrize("call", [1, 3, 7, 99])
+def test_stopped_anywhere_each_row_is_there_once(filled, monkeypatch, call):
+    """The run is killed before its n-th write, mark or deletion; readers and the next run find every row once."""
+    count = 0
+
+    def dying(step):
+        def run(*args, **options):
+            nonlocal count
+            count += 1
+            if count == call:
+                raise KeyboardInterrupt
+            return step(*args, **options)
+
+        return run
+
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    monkeypatch.setattr(folders, "commit", dying(folders.commit))
+    monkeypatch.setattr(folders, "delete", dying(folders.delete))
+    monkeypatch.setattr(DataFrameWriter, "parquet", dying(DataFrameWriter.parquet))
+    try:
+        filled.compact(2, LATER)
+        stopped = False
+    except KeyboardInterrupt:
+        stopped = True
+    monkeypatch.undo()
+    assert stopped == (call <= 10)
+    assert amounts(filled) == filled.all[0]
+    # The last batch, and one that may be merged already, are replayed.
+    filled.process(filled.batches[2], 2)
+    filled.process(filled.batches[1], 1)
+    assert state(filled) == filled.all
+    filled.compact(3, LATER, least=1)
+    assert state(filled) == filled.all
+    assert filled.folders("transactions") == {}
+
+
+def test_days_are_still_pruned_after_merging(filled):
+    filled.compact(2, LATER)
+    plan = plan_text(filled.read("transactions").where("transaction_date = DATE '2024-05-02'"))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("transaction_date" in line.split("PartitionFilters")[1] for line in scans)
+
+
+def test_a_running_stream_keeps_its_folders_few(stream):
+    day = "2024-05-{:02d}T00:00:00".format
+    files = [(str(n), [message(f"{n}", at=day(1)), message(f"x{n}", at=day(2)), message("same", 3)]) for n in range(9)]
+    stream(*files, compact_every=3)
+    assert len(amounts(stream.store)) == 19
+    assert max(len(batches) for batches in stream.store.folders("transactions").values()) <= 3
+    assert datetime(2024, 5, 2) < NOW

@@ -627,6 +627,10 @@ STREAM = {
     "stream_probe": "SELECT least(10, count(*)) AS message_count FROM transactions",
     "stream_ingest": f"""
         SELECT {MESSAGE}, amount > 1500 AS has_alert FROM transactions""",
+    "stream_compaction": """
+        SELECT CAST(transaction_timestamp AS DATE) AS transaction_date, count(*) AS transactions,
+               CAST(sum(amount) AS DOUBLE) AS amount, 0::BIGINT AS batch_folders
+        FROM transactions GROUP BY 1""",
     "stream_quarantine": """
         SELECT CASE event_type WHEN 'error' THEN props
                     ELSE concat('{"transaction_id":"part-', event_id, '","amount":5,"currency":null}')

@@ -358,7 +358,7 @@ def stream_probe(spark: SparkSession, folder: str) -> DataFrame:
     return message_sources.probe(messages.encode(_to_send(spark, folder)))
 
 
-def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
+def _ingested(spark: SparkSession, folder: str, compact_every: int = 100) -> ingest.FileStore:
     """Run the stream to its end: all messages, then second deliveries and unusable ones."""
     root = scratch_path(spark, "stream")
     sent = messages.encode(_to_send(spark, folder)).select("value")
@@ -367,9 +367,8 @@ def _ingested(spark: SparkSession, folder: str) -> ingest.FileStore:
         part.write.mode("append").text(f"{root}/inbox")
     store = ingest.FileStore(spark, f"{root}/store")
     stream = message_sources.file_stream(spark, f"{root}/inbox", max_files=2)
-    process = ingest.store_batch(store, lambda: datetime(2024, 1, 31))
-    ingest.start_ingest(
-        stream, process, f"{root}/checkpoint", available_now=True
+    ingest.start_unique_ingest(
+        stream, store, f"{root}/checkpoint", lambda: datetime(2024, 1, 31), compact_every, available_now=True
     ).awaitTermination()
     return store
 
@@ -391,10 +390,24 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.count("*").alias("messages"))
 
 
+def stream_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    """Days as stored after merging, while the stream runs and at its end; all days are closed then."""
+    store = _ingested(spark, folder, compact_every=1)
+    last = max(batch for batches in store.folders("transactions").values() for batch in batches)
+    store.compact(last + 1, date(9999, 12, 31), least=1)
+    left = {day: len(batches) for day, batches in store.folders("transactions").items()}
+    return store.read("transactions").groupBy(ingest.DAY).agg(
+        F.count("*").alias("transactions"),
+        F.sum("amount").alias("amount"),
+        F.lit(max(left.values(), default=0)).alias("batch_folders"),
+    )
+
+
 FUNCTIONS = (
     csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, sql_query_scan,
     gateway_literals, table_views, decode_transactions, stream_dedup, stream_fraud_alerts,
     stream_alert_lookup, stream_publish, stream_probe, stream_ingest, stream_quarantine,
+    stream_compaction,
 )
 
 

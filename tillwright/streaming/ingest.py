@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
+import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,27 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..schemas import schema
+from ..sinks import folders
 from ..sinks.database import write_table
 from ..sources.database import hash_predicates, read_split
 from . import messages as M
 
 DAY = "transaction_date"
 BUCKET = "bucket"
+BLOCK = "block"
+
+#: Micro-batches whose alerts and unreadable messages share a folder.
+BLOCK_BATCHES = 1000
+
+# What the folders of a table are merged by, once a day or a block of micro-batches is closed.
+PARTS = {"transactions": DAY, "fraud_alerts": BLOCK, "quarantine": BLOCK}
+
+# Keyed state on the executors' disks; a checkpoint holds what a micro-batch changed, not all keys.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def utc_now() -> datetime:
@@ -32,8 +48,8 @@ def stored_schema() -> StructType:
 
 TABLES = {
     "fraud_alerts": "transaction_uuid STRING, alert_type STRING, risk_level STRING, alert_message STRING,"
-                    " is_resolved BOOLEAN, created_at TIMESTAMP, batch_id BIGINT",
-    "quarantine": "value BINARY, batch_id BIGINT",
+                    f" is_resolved BOOLEAN, created_at TIMESTAMP, {BLOCK} BIGINT, batch_id BIGINT",
+    "quarantine": f"value BINARY, {BLOCK} BIGINT, batch_id BIGINT",
     "keys": f"transaction_uuid STRING, {BUCKET} INT, batch_id BIGINT",
 }
 
@@ -43,15 +59,21 @@ def table_schema(table: str) -> StructType:
 
 
 class FileStore:
-    """Parquet folders; transactions by event day, and by micro-batch as all the others.
+    """Parquet folders; transactions by event day and micro-batch, alerts and quarantine by micro-batch.
 
     A micro-batch owns the files under its batch number, and writing replaces exactly those. So a
     batch that is replayed after a failure, even one that failed between the tables, ends in the
     same state as one that ran once.
 
-    A uuid is stored once, whatever day it comes back under. Uuids are kept a second time, alone, in
-    `buckets` parts by their hash; a batch is compared with the parts its own uuids fall into, as
-    stored by other batches. The number of parts is fixed when a store is begun.
+    `compact` merges the folders of closed days (for alerts and quarantine, of closed blocks of batches) into one.
+    What counts is a mark per day, `upto`: the day's rows of batches up to it are those of the merged folder
+    of that number, and all others are in batch folders. The mark appears in one step after the merged files. Reading,
+    writing and clearing away go by it: a batch folder that is still there does not count twice, a replay of a
+    merged batch writes nothing to that day, and merged files without their mark are not there.
+
+    For `store_batch` uuids are kept a second time, alone, in `buckets` parts by their hash; a batch is compared
+    with the parts its own uuids fall into, as stored by other batches. The number of parts is fixed
+    when a store is begun.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
@@ -60,18 +82,52 @@ class FileStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _read(self, path: str, columns: StructType, below: str = "") -> DataFrame:
+        reader = self.spark.read.schema(columns).option("basePath", path)
+        try:
+            return reader.parquet(f"{path}{below}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return self.spark.createDataFrame([], columns)
+            raise
+
     def read(self, table: str, below: str = "") -> DataFrame:
         """A table of the store, or the partitions under a path below it; empty before the first write."""
-        reader = self.spark.read.schema(table_schema(table)).option("basePath", self.path(table))
+        columns = table_schema(table)
+        written = self._read(self.path(table), columns, below)
+        marks = self.marks(table) if table in PARTS else {}
+        if not marks:
+            return written
+        # One row per closed day or block: bounded by the calendar, so it may be broadcast.
+        marked = F.broadcast(self._marks_table(table, marks))
+        part = PARTS[table]
+        merged = self._read(self.path(f"merged/{table}"), StructType([*columns]).add("upto", "long"))
+        return written.join(marked, part, "left").where("upto IS NULL OR batch_id > upto").select(
+            columns.names
+        ).unionAll(merged.join(marked, [part, "upto"], "left_semi").select(columns.names))
+
+    def marks(self, table: str) -> dict[str, int]:
+        """Up to which batch each closed day or block is merged."""
         try:
-            return reader.parquet(f"{self.path(table)}{below}")
+            rows = self.spark.read.schema("part STRING, upto BIGINT").json(self.path(f"marks/{table}")).collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], table_schema(table))
+                return {}
             raise
+        return {row["part"]: row["upto"] for row in rows}
+
+    def _marks_table(self, table: str, marks: dict[str, int]) -> DataFrame:
+        of = table_schema(table)[PARTS[table]].dataType
+        rows = self.spark.createDataFrame(list(marks.items()), f"{PARTS[table]} STRING, upto BIGINT")
+        return rows.withColumn(PARTS[table], F.col(PARTS[table]).cast(of))
 
     def write(self, rows: DataFrame, table: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
         """Replace the batch's files; rebalancing keeps them few, however many tasks made the rows."""
+        if PARTS.get(table) == BLOCK:
+            rows, by = rows.withColumn(BLOCK, F.lit(batch_id // BLOCK_BATCHES).cast("bigint")), (BLOCK,)
+        merged = {part: upto for part, upto in self.marks(table).items() if upto >= batch_id} if table in PARTS else {}
+        if merged:  # a replay: what the batch stored there is in the merged folder
+            rows = rows.join(F.broadcast(self._marks_table(table, merged)), PARTS[table], "left_anti")
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .hint("rebalance", *by)
@@ -81,6 +137,68 @@ class FileStore:
             .parquet(self.path(table))
         )
 
+    def folders(self, table: str) -> dict[str, dict[int, str]]:
+        """The batch folders of each day or block."""
+        found: dict[str, dict[int, str]] = {}
+        for path in folders.matching(self.spark, f"{self.path(table)}/{PARTS[table]}=*/batch_id=*"):
+            part, batch = (piece.split("=", 1)[1] for piece in path.split("/")[-2:])
+            found.setdefault(part, {})[int(batch)] = path
+        return found
+
+    def compact(self, before_batch: int, before_day: date, least: int = 2) -> dict[str, list[str]]:
+        """Merge what batches below `before_batch` left in at least `least` folders of a closed day or block.
+
+        Days before `before_day` are closed, and blocks that end below `before_batch`. The batches must be
+        finished: batch `before_batch` may be running or replayed, no earlier one. Returns the days and
+        blocks per table. A run that was stopped anywhere is completed by the next one.
+        """
+        done = {}
+        for table, part in PARTS.items():
+            self.clear(table)
+
+            def closed(value: str) -> bool:
+                if part == DAY:
+                    return value < before_day.isoformat()
+                return (int(value) + 1) * BLOCK_BATCHES <= before_batch
+
+            due = [
+                value for value, batches in self.folders(table).items()
+                if closed(value) and sum(batch < before_batch for batch in batches) >= least
+            ]
+            done[table] = due
+            if not due:
+                continue
+            upto = before_batch - 1
+            of = table_schema(table)[part].dataType
+            rows = self.read(table).where(
+                F.col(part).isin([F.lit(value).cast(of) for value in due]) & (F.col("batch_id") <= upto)
+            )
+            (
+                rows.withColumn("upto", F.lit(upto).cast("bigint"))
+                .hint("rebalance", part)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(part, "upto")
+                .parquet(self.path(f"merged/{table}"))
+            )
+            for value in due:
+                folders.commit(
+                    self.spark, self.path(f"marks/{table}/{value}.json"), json.dumps({"part": value, "upto": upto})
+                )
+            self.clear(table)
+        return done
+
+    def clear(self, table: str) -> None:
+        """Delete batch folders that a mark covers, and merged folders that are no longer the marked ones."""
+        marks, written = self.marks(table), self.folders(table)
+        for part, upto in marks.items():
+            for batch, path in written.get(part, {}).items():
+                if batch <= upto:
+                    folders.delete(self.spark, path)
+            for path in folders.matching(self.spark, f"{self.path('merged')}/{table}/{PARTS[table]}={part}/upto=*"):
+                if int(path.rsplit("=", 1)[1]) < upto:
+                    folders.delete(self.spark, path)
+
     def bucketed(self, rows: DataFrame) -> DataFrame:
         part = F.pmod(F.xxhash64("transaction_uuid"), F.lit(self.buckets))
         return rows.withColumn(BUCKET, part.cast("int"))
@@ -126,6 +244,61 @@ def store_batch(
     return run
 
 
+def store_new(
+    store: FileStore, now: Callable[[], datetime] = utc_now, compact_every: int = 100, open_days: int = 2
+) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch function for a stream `with_new_uuids` over a FileStore.
+
+    Nothing that earlier batches stored is read. Every `compact_every` batches closed days are merged;
+    today and the `open_days` before it stay open.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        # Kept, so that the state operator below runs once for all that follows.
+        whole = M.numbered(batch).persist()
+        parsed = M.parse(whole.where(F.col(M.NEW).isNull()).drop(M.NEW))
+        markers = whole.where(F.col(M.NEW).isNotNull()).select(F.col(M.NEW).alias("transaction_uuid"))
+        fresh = (
+            M.first_deliveries(M.decode(parsed, now()))
+            .join(markers, "transaction_uuid", "left_semi")
+            .withColumn(DAY, F.to_date("transaction_timestamp"))
+            .persist()
+        )
+        try:
+            store.write(_quarantined(parsed), "quarantine", batch_id)
+            store.write(fresh, "transactions", batch_id, (DAY,))
+            store.write(M.high_value_alerts(fresh), "fraud_alerts", batch_id)
+            if batch_id and batch_id % compact_every == 0:
+                store.compact(batch_id, now().date() - timedelta(days=open_days))
+        finally:
+            fresh.unpersist()
+            whole.unpersist()
+
+    return run
+
+
+def start_unique_ingest(
+    messages: DataFrame,
+    store: FileStore,
+    checkpoint: str,
+    now: Callable[[], datetime] = utc_now,
+    compact_every: int = 100,
+    **options,
+) -> StreamingQuery:
+    """Ingest with the known uuids as keyed state of the stream; a uuid is stored once.
+
+    The state lives in the checkpoint, so a store and its checkpoint belong together: a new checkpoint over
+    a store that has transactions is refused. The number of shuffle partitions at the first start
+    is that of the state for good. Several streams into one store need `store_batch` instead.
+    """
+    spark = messages.sparkSession
+    if not folders.exists(spark, f"{checkpoint}/offsets") and folders.exists(spark, store.path("transactions")):
+        raise ValueError(f"{store.root} has transactions, but {checkpoint} does not know their uuids")
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
+    return start_ingest(M.with_new_uuids(messages), store_new(store, now, compact_every), checkpoint, **options)
+
+
 class TableStore:
     """Tables of a database that numbers transactions itself.
 

@@ -145,6 +145,22 @@ def deduplicate_stream(rows: DataFrame, horizon: str = "1 day") -> DataFrame:
     )
 
 
+# The uuid of a marker row: the stream has not had it before this micro-batch.
+NEW = "_new_uuid"
+
+
+def with_new_uuids(messages: DataFrame) -> DataFrame:
+    """A stream's messages as they are, and beside them one marker row per uuid that was never there before.
+
+    Which uuids are known is the state of `dropDuplicates`: a key per uuid and nothing else, kept by
+    its hash. A micro-batch looks up its own uuids, whatever was stored before. The markers do not say which
+    delivery counts, as the operator keeps any; `first_deliveries` chooses among the messages.
+    """
+    uuids = parse(messages).where("is_usable").select(F.col("m.transaction_id").alias(NEW)).dropDuplicates([NEW])
+    empty = [F.lit(None).cast(field.dataType).alias(field.name) for field in messages.schema]
+    return messages.withColumn(NEW, F.lit(None).cast("string")).unionByName(uuids.select(*empty, NEW))
+
+
 def high_value_alerts(rows: DataFrame, above: float = rules.HIGH_AMOUNT) -> DataFrame:
     """An alert per transaction above the amount, from the row itself: no lookup is needed."""
     return rows.where(F.col("amount") > above).select(
