@@ -141,3 +141,22 @@ def test_single_table_checks_share_one_scan(stored):
     plan = plan_text(quality.check(stored, AS_OF, suite))
     # One pass per table, and two for the refund rule's join.
     assert plan.count("FileScan parquet") == 5
+
+
+def test_daily_revenue_reads_its_rows_once(stored):
+    plan = plan_text(reports.daily_revenue(stored, AS_OF))
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+    assert "bitmap_construct_agg" in plan
+
+
+def test_cohorts_need_no_window(stored):
+    plan = plan_text(reports.cohort_retention(stored, AS_OF))
+    assert "Window" not in plan and plan.count("FileScan parquet") == 1
+    assert shuffles(plan) == 3 and "partial_bit_or" in plan
+
+
+def test_the_suite_reads_transactions_four_times(stored):
+    """Tallies, the outlier threshold they need, keys, and the refund rule."""
+    plan = plan_text(quality.check(stored, AS_OF))
+    reads = [part for part in plan.split("FileScan parquet")[1:] if "/transactions]" in part.split("\n")[0]]
+    assert len(reads) <= 4

@@ -197,9 +197,55 @@ def test_a_wrong_type_is_told_from_the_schema(spark):
 def test_orphans_and_failures_share_one_count(spark, folder):
     tables = fixtures.clean_tables(spark, folder)
     rows = tables["transactions"]
-    both = {r["check"]: r["bad_count"] for r in quality.check_customers(rows, tables["customers"]).collect()}
+    both = {r["check"]: r["bad_count"] for r in quality.check_keys(
+        {**tables, "transactions": rows}, "transactions", (), [("transactions", "customer_id", "customers", "customer_id")], True
+    ).collect()}
     apart = quality.combine([
         quality.check_referential_integrity(rows, tables["customers"], "customer_id", "customer_id", "x"),
         quality.check_failed_customers(rows),
     ])
     assert both == {r["check"]: r["bad_count"] for r in apart.collect()}
+
+
+def test_stored_types_are_those_of_the_files(spark, tmp_path):
+    for number, name in enumerate(("a", "b")):
+        spark.range(3).selectExpr("id", f"CAST(id AS STRING) AS {name}").write.parquet(f"{tmp_path}/t/part={number}")
+    path = f"{tmp_path}/t"
+    expected = {"id": "bigint", "a": "int", "b": "string", "absent": "int"}
+    found = {r["column"]: (r["bad_count"], r["detail"]) for r in quality.check_stored_types(spark, path, "t", expected).collect()}
+    assert found == {
+        "id": (0, "expected bigint, found bigint"), "a": (6, "expected int, found string"),
+        "b": (0, "expected string, found string"),
+    }
+    spark.range(0).selectExpr("CAST(id AS STRING) AS id").write.parquet(f"{tmp_path}/empty")
+    (row,) = quality.check_stored_types(spark, f"{tmp_path}/empty", "t", {"id": "bigint"}).collect()
+    assert row["bad_count"] == 1
+
+
+def test_keys_in_one_pass_equal_the_single_checks(make):
+    """Nulls, negative keys, text keys and a key with many rows, against the checks of one column each."""
+    rows = make(
+        "transaction_id BIGINT, transaction_uuid STRING, customer_id BIGINT, merchant_id INT, transaction_status STRING",
+        [(n // 2, "u" if n % 3 else None, [None, 0, -1, 7][n % 4], [None, 0, 5][n % 3], "failed") for n in range(48)],
+    )
+    tables = {
+        "transactions": rows,
+        "customers": make("customer_id BIGINT", [(0,), (7,), (None,), (7,)]),
+        "merchants": make("merchant_id BIGINT", [(5,), (None,)]),
+    }
+    references = [
+        ("transactions", "merchant_id", "merchants", "merchant_id"),
+        ("transactions", "customer_id", "customers", "customer_id"),
+    ]
+    unique = ("transaction_id", "transaction_uuid", "absent")
+    got = quality.check_keys(tables, "transactions", unique, references, True)
+    single = quality.combine([
+        quality.check_duplicates(rows, "transactions", unique),
+        *[
+            quality.check_referential_integrity(tables[c], tables[p], ck, pk, f"{c} -> {p}")
+            for c, ck, p, pk in references
+        ],
+        quality.check_failed_customers(rows),
+    ])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, single.collect()))
+    assert {r["check"]: r["bad_count"] for r in got.collect()}["failed_customers"] > 0

@@ -86,6 +86,38 @@ def test_cohort_months_wrap_after_a_year(sales):
     ]
 
 
+def test_months_of_any_span_and_sign(sales):
+    """Eleven years of one buyer, first months on both sides of a mask word, and a buyer from before."""
+    months = [(y, m) for y in range(2023, 2034) for m in range(1, 13)][7:]  # from August 2023 on
+    rows = [(i, 1, 1, "success", f"{y}-{m:02d}-15 00:00:00") for i, (y, m) in enumerate(months)]
+    rows += [(900, 2, 1, "success", "1969-05-01 00:00:00"), (901, 2, 1, "success", "2024-01-01 00:00:00")]
+    rows += [(902, 3, 1, "success", "2028-06-30 23:59:59"), (903, 3, 1, "success", "2028-07-01 00:00:00")]
+    rows += [(904, 4, 1, "success", "2028-07-31 00:00:00"), (905, 4, 1, "success", "2033-12-01 00:00:00")]
+    report = reports.cohort_retention({"transactions": sales(rows)}, AS_OF).collect()
+    found = {(r["cohort_month"], r["activity_month"]): r["active_customers"] for r in report}
+    expected = {(datetime(2023, 8, 1), datetime(y, m, 1)): 1 for y, m in months}
+    expected |= {(datetime(2028, 6, 1), datetime(2028, m, 1)): 1 for m in (6, 7)}
+    expected |= {(datetime(2028, 7, 1), datetime(2028, 7, 1)): 1, (datetime(2028, 7, 1), datetime(2033, 12, 1)): 1}
+    assert found == expected
+    assert all(r["months_since_first_purchase"] == (
+        (r["activity_month"].year - r["cohort_month"].year) * 12 + r["activity_month"].month - r["cohort_month"].month
+    ) % 12 for r in report)
+
+
+def test_daily_distinct_counts_take_any_id(make):
+    ids = [None, 0, -1, -32768, -32769, 32767, 32768, 32769, 5, 5, -5, 10**15, -(10**15)]
+    rows = make(
+        "transaction_id BIGINT, customer_id BIGINT, merchant_id INT, amount DECIMAL(15,2),"
+        " transaction_status STRING, transaction_timestamp TIMESTAMP",
+        [(i, c, i % 4 or None, 2, "success" if i % 2 else None, "2024-01-30 00:00:00") for i, c in enumerate(ids)]
+        + [(99, None, None, None, None, "2024-01-29 00:00:00")],
+    )
+    one, other = reports.daily_revenue({"transactions": rows}, AS_OF).collect()
+    assert (one["total_transactions"], one["unique_customers"], one["unique_merchants"]) == (13, 11, 3)
+    assert (one["total_revenue"], one["avg_transaction_value"], one["success_rate_pct"]) == (12, 2, 46.15)
+    assert (other["total_transactions"], other["unique_customers"], other["unique_merchants"]) == (1, 0, 0)
+
+
 def test_top_merchants_ties_minimum_and_limit(make):
     rows = make(
         "transaction_id BIGINT, merchant_id BIGINT, customer_id BIGINT, amount DECIMAL(15,2),"

@@ -1,8 +1,8 @@
 """Data quality checks.
 
 Every check yields rows of (check, table, column, severity, bad_count, detail); a bad_count of 0 is a
-pass. Checks that only count rows of one table share one pass over it. Duplicates, orphans and the
-joined rule need their own key-wise pass and read only the columns they need.
+pass. Checks that only count rows of one table share one pass over it; in a suite, so do its duplicates, orphans
+and failing customers. The joined rule needs its own key-wise pass.
 """
 
 from __future__ import annotations
@@ -42,7 +42,6 @@ REFERENCES = (
     ("payment_methods", "customer_id", "customers", "customer_id"),
 )
 # End of fixed values.
-CUSTOMER_REFERENCE = ("transactions", "customer_id", "customers", "customer_id")
 
 
 @dataclass(frozen=True)
@@ -238,6 +237,82 @@ def check_data_types(df: DataFrame, table: str, expected: Mapping[str, str]) ->
     return df.sparkSession.createDataFrame(rows, CHECK_ROW)
 
 
+def check_stored_types(session: SparkSession, path: str, table: str, expected: Mapping[str, str]) -> DataFrame:
+    """Rows stored under a type whose name does not contain the expected one.
+
+    The types are those in the footers of all of the table's files, read by a Spark job; files that contradict each
+    other fail the read. An empty table with a wrong type counts as one.
+    """
+    stored = session.read.option("mergeSchema", "true").parquet(path)
+    tallies = []
+    for c, wanted in expected.items():
+        if c in stored.columns:
+            actual = stored.schema[c].dataType.simpleString()
+            wrong = F.greatest(F.count("*"), F.lit(1)) if wanted not in actual else F.lit(0)
+            tallies.append(Tally("types", c, WARNING, wrong, f"expected {wanted}, found {actual}"))
+    return tally(stored, table, tallies)
+
+
+def check_keys(
+    tables: Mapping[str, DataFrame], table: str, unique: Iterable[str], references: Iterable[tuple], failing: bool = False
+) -> DataFrame:
+    """Duplicates, keys without a parent and customers with many failures, in one pass over the table.
+
+    A row becomes one narrow row per key column, and these are counted per column and key before they
+    meet the parents' keys; a key of a third of all rows is one row per task. Nulls are equal to each other as
+    duplicates and no orphans. Whole-number keys travel as numbers, others as text.
+    """
+    rows = tables[table]
+    unique = [c for c in unique if c in rows.columns]
+    references = list(references)
+    columns = list(dict.fromkeys([*unique, *[r[1] for r in references], *(["customer_id"] if failing else [])]))
+    if not columns:
+        return no_checks(rows.sparkSession)
+
+    def key(frame: DataFrame, column: str, which: int) -> Column:
+        whole = frame.schema[column].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+        number, text = (F.col(column), F.lit(None)) if whole else (F.lit(None), F.col(column))
+        return F.struct(
+            F.lit(which).alias("which"), number.cast("bigint").alias("number"), text.cast("string").alias("text")
+        )
+
+    failed = X.has_status(rules.FAILED) if failing else F.lit(False)
+    per_key = (
+        rows.select(failed.alias("failed"), F.inline(F.array([key(rows, c, i) for i, c in enumerate(columns)])))
+        .groupBy("which", "number", "text")
+        .agg(F.count("*").alias("n"), F.count_if("failed").alias("failed"))
+    )
+    is_null = F.col("number").isNull() & F.col("text").isNull()
+    counts, lines = [], []
+    for c in unique:
+        counts.append(F.sum(F.when(F.col("which") == columns.index(c), F.col("n") - 1)))
+        lines.append(("duplicates", table, c, ERROR, "repeated values"))
+    for i, (child, child_key, parent, parent_key) in enumerate(references):
+        of = columns.index(child_key)
+        known = tables[parent].select(F.inline(F.array(key(tables[parent], parent_key, of)))).distinct()
+        per_key = per_key.join(
+            known.select(*[F.col(c).alias(f"_{c}") for c in known.columns], F.lit(True).alias(f"known{i}")),
+            (F.col("which") == F.col("_which")) & (F.coalesce("number", F.lit(0)) == F.coalesce("_number", F.lit(0)))
+            & (F.coalesce("text", F.lit("")) == F.coalesce("_text", F.lit(""))) & ~is_null
+            & (F.col("_number").isNotNull() | F.col("_text").isNotNull()),
+            "left",
+        ).drop("_which", "_number", "_text")
+        counts.append(F.count_if((F.col("which") == of) & ~is_null & F.col(f"known{i}").isNull()))
+        lines.append(("referential", f"{child} -> {parent}", child_key, ERROR, "keys without a parent"))
+    if failing:
+        many = (F.col("which") == columns.index("customer_id")) & ~is_null & (
+            F.col("failed") > rules.MAX_FAILED_PER_CUSTOMER
+        )
+        counts.append(F.count_if(many))
+        lines.append(("failed_customers", table, "customer_id", WARNING, "customers with many failures"))
+    counted = per_key.agg(*[count.alias(f"n{i}") for i, count in enumerate(counts)])
+    inlined = ", ".join(
+        _report_line(check, of, column, severity, f"n{i}", detail)
+        for i, (check, of, column, severity, detail) in enumerate(lines)
+    )
+    return counted.selectExpr(f"inline(array({inlined}))")
+
+
 def check_referential_integrity(
     child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, relationship: str
 ) -> DataFrame:
@@ -303,27 +378,6 @@ def high_amount_tally(transactions: DataFrame) -> Tally:
     )
 
 
-def check_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Orphaned customer ids and customers with many failures, from one count per customer id."""
-    per_customer = transactions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.count_if(X.has_status(rules.FAILED)).alias("failed")
-    )
-    known = customers.select("customer_id", F.lit(True).alias("known")).distinct()
-    counts = per_customer.join(known, "customer_id", "left").agg(
-        F.count_if(F.col("known").isNull()).alias("orphans"),
-        F.count_if(F.col("failed") > rules.MAX_FAILED_PER_CUSTOMER).alias("failing"),
-    )
-    lines = ", ".join([
-        _report_line(
-            "referential", "transactions -> customers", "customer_id", ERROR, "orphans", "keys without a parent"
-        ),
-        _report_line(
-            "failed_customers", "transactions", "customer_id", WARNING, "failing", "customers with many failures"
-        ),
-    ])
-    return counts.selectExpr(f"inline(array({lines}))")
-
-
 def check_failed_customers(transactions: DataFrame) -> DataFrame:
     many = failed_customers(transactions).agg(F.count("*").alias("n"))
     return _line(
@@ -349,21 +403,11 @@ def check(
     if suite.detect_anomalies:
         counted["transactions"] += [high_amount_tally(tables["transactions"]), odd_hours()]
     frames = [tally(tables[name], name, tallies) for name, tallies in counted.items()]
-    frames += [check_duplicates(tables[name], name, cols) for name, cols in suite.unique.items()]
-    references = list(suite.references)
     frames.append(check_excess_refunds(tables))
-    if suite.detect_anomalies:
-        if CUSTOMER_REFERENCE in references:
-            references.remove(CUSTOMER_REFERENCE)
-            frames.append(check_customers(tables["transactions"], tables["customers"]))
-        else:
-            frames.append(check_failed_customers(tables["transactions"]))
-    for child, child_key, parent, parent_key in references:
-        frames.append(
-            check_referential_integrity(
-                tables[child], tables[parent], child_key, parent_key, f"{child} -> {parent}"
-            )
-        )
+    for name in dict.fromkeys([*suite.unique, *[r[0] for r in suite.references], "transactions"]):
+        references = [r for r in suite.references if r[0] == name]
+        failing = suite.detect_anomalies and name == "transactions"
+        frames.append(check_keys(tables, name, suite.unique.get(name, ()), references, failing))
     return combine(frames)
 
 

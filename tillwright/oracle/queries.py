@@ -499,7 +499,7 @@ QUALITY = {
         line("types", "transactions", "transaction_timestamp", "warning", "SELECT 0",
              "expected timestamp, found timestamp"),
         line("types", "transactions", "metadata", "warning",
-             "SELECT 1", "expected struct, found string"),
+             "SELECT count(*) FROM transactions_raw", "expected struct, found string"),
     ]),
     "dq_ranges": union([
         outside("customers", "risk_score", 0, 100, "customers_raw"),
@@ -574,7 +574,7 @@ SOURCES = {
     },
     **{
         f"{query}_{table}": _doubles(table, table)
-        for query in ("csv_sink", "dated_backup")
+        for query in ("csv_sink", "dated_backup", "load")
         for table in ("merchants", "customers", "payment_methods", "fraud_alerts", "refunds")
         if (query, table) != ("dated_backup", "refunds")
     },
@@ -582,13 +582,16 @@ SOURCES = {
         SELECT {TRANSACTION_ROW}, transaction_hour, transaction_day_of_week, transaction_month,
                processing_time_seconds FROM transactions""",
     "monthly_store": f"SELECT {TRANSACTION_ROW} FROM transactions",
-    "load_order": """
-        SELECT 'merchants' AS table_name, 1 AS position, count(*) AS row_count FROM merchants
-        UNION ALL SELECT 'customers', 2, count(*) FROM customers
-        UNION ALL SELECT 'payment_methods', 3, count(*) FROM payment_methods
-        UNION ALL SELECT 'transactions', 4, count(*) FROM transactions
-        UNION ALL SELECT 'fraud_alerts', 5, count(*) FROM fraud_alerts
-        UNION ALL SELECT 'refunds', 6, count(*) FROM refunds""",
+    "load": f"SELECT {TRANSACTION_ROW} FROM transactions",
+    "load_order": "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS table_name, {place} AS position, (SELECT count(*) FROM {table}) AS row_count,
+               (SELECT string_agg(column_name, ',' ORDER BY column_name)
+                FROM (DESCRIBE SELECT {columns} FROM {table})) AS columns"""
+        for place, (table, columns) in enumerate({
+            "merchants": "*", "customers": "*", "payment_methods": "*", "transactions": TRANSACTION_ROW,
+            "fraud_alerts": "*", "refunds": "*",
+        }.items(), 1)
+    ),
     "sql_query_scan": f"""
         SELECT {DAY} AS date, count(*) AS total_transactions, {REVENUE} AS revenue
         FROM transactions WHERE transaction_timestamp >= {days_before(7)} GROUP BY 1 ORDER BY 1 DESC""",

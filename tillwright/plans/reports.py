@@ -9,47 +9,49 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..functions import rules
+from ..operators.bitmaps import by_bucket, counted, distinct_ids
 from .common import Tables, day, hour, recent, since
 
 
 def daily_revenue(tables: Tables, as_of: date, days: int = 30) -> DataFrame:
-    """Totals per day, with distinct customers and merchants.
+    """Totals per day, with distinct customers and merchants, from one scan.
 
-    Distinct counts run apart from the totals: their shuffled rows are then a day and an id, while
-    together every row would be expanded per distinct column and drag all the totals along.
+    A row becomes two narrow ones, one per counted id, and only the first carries the totals. They are grouped by
+    day, id column and bucket of 32,768 ids; a group is a bitmap of 4 KB however many rows it has, so a merchant with a
+    third of all rows is a bit. Bitmaps count exactly; null ids have no bucket and no bit.
     """
     dated = recent(tables, as_of, days).withColumn("transaction_date", day())
-    totals = dated.groupBy("transaction_date").agg(
-        F.count("*").alias("total_transactions"),
-        X.revenue().alias("total_revenue"),
-        F.count_if(X.has_status(rules.FAILED)).alias("failed_count"),
-        X.amount_where(X.has_status(rules.REFUNDED)).alias("refunded_amount"),
-        X.mean2(X.revenue(), X.orders()).alias("avg_transaction_value"),
-        X.percent2(X.orders(), F.count("*")).alias("success_rate_pct"),
+    parts = by_bucket(
+        dated, ["transaction_date"], ["customer_id", "merchant_id"], ["amount", "transaction_status"],
+        {
+            "rows": counted(),
+            "revenue": X.revenue(),
+            "orders": X.orders(),
+            "failed": F.count_if(X.has_status(rules.FAILED)),
+            "refunded": X.amount_where(X.has_status(rules.REFUNDED)),
+        },
     )
-    customers = _distinct_per(dated, "transaction_date", "customer_id", "unique_customers")
-    merchants = _distinct_per(dated, "transaction_date", "merchant_id", "unique_merchants")
     return (
-        totals.join(customers, "transaction_date")
-        .join(merchants, "transaction_date")
-        .select(
-            "transaction_date", "total_transactions", "unique_customers", "unique_merchants",
-            "total_revenue", "failed_count", "refunded_amount", "avg_transaction_value",
-            "success_rate_pct",
+        parts.groupBy("transaction_date")
+        .agg(
+            F.sum("rows").alias("total_transactions"),
+            distinct_ids(0).alias("unique_customers"),
+            distinct_ids(1).alias("unique_merchants"),
+            F.sum("revenue").alias("total_revenue"),
+            F.sum("failed").alias("failed_count"),
+            F.sum("refunded").alias("refunded_amount"),
+            X.mean2(F.sum("revenue"), F.sum("orders")).alias("avg_transaction_value"),
+            X.percent2(F.sum("orders"), F.sum("rows")).alias("success_rate_pct"),
         )
         .orderBy(F.desc_nulls_first("transaction_date"))
     )
 
 
-def _distinct_per(rows: DataFrame, group: str, column: str, name: str) -> DataFrame:
-    return rows.groupBy(group).agg(F.count_distinct(column).alias(name))
-
-
 def top_merchants(
     tables: Tables, as_of: date, days: int = 30, min_transactions: int = 10, limit: int = 20
 ) -> DataFrame:
@@ -219,28 +221,49 @@ def refund_analysis(tables: Tables, as_of: date, days: int = 30) -> DataFrame:
     )
 
 
+# Months of one mask word; below 63, so that a word is never negative.
+MASK_MONTHS = 60
+
+
 def cohort_retention(tables: Tables, as_of: date, months: int = 6) -> DataFrame:
     """Distinct buyers per first-purchase month and activity month.
 
-    Rows shrink to distinct (customer, month) pairs before any window, so a window partition holds
-    at most one row per calendar month, and counting pairs counts distinct customers.
+    A customer is one row per five years: a mask with a bit per active month, set by `bit_or` before any shuffle.
+    Months count from the oldest cohort, and earlier ones are all word -1, which excludes the customer.
+    The first month is the lowest bit of the lowest word; no window, and any span of time.
     """
-    month = F.date_trunc("month", "transaction_timestamp")
+    oldest = F.add_months(F.lit(str(as_of)).cast("date"), -months)
+    # A cohort counts from the first whole month on; a month in its middle is before it.
+    first = F.when(F.trunc(oldest, "month") == oldest, oldest).otherwise(F.add_months(F.trunc(oldest, "month"), 1))
+    at = F.col("transaction_timestamp")
+    number = (F.year(at) - F.year(first)) * 12 + F.month(at) - F.month(first)
+    word = F.when(number < 0, -1).otherwise(F.floor(number / MASK_MONTHS))
     active = (
         tables["transactions"]
-        .where(X.succeeded() & F.col("customer_id").isNotNull())
-        .select("customer_id", month.alias("activity_month"))
-        .distinct()
+        .where(X.succeeded() & F.col("customer_id").isNotNull() & at.isNotNull())
+        .select("customer_id", word.cast("int").alias("word"), F.pmod(number, F.lit(MASK_MONTHS)).alias("bit"))
+        .groupBy("customer_id", "word")
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("mask"))
     )
-    first_month = F.min("activity_month").over(Window.partitionBy("customer_id"))
-    oldest = F.add_months(F.lit(str(as_of)).cast("date"), -months).cast("timestamp")
-    elapsed = F.months_between("activity_month", "cohort_month").cast("int") % 12
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - 1)
+    buyers = active.groupBy("customer_id").agg(
+        F.min(F.col("word") * MASK_MONTHS + lowest).alias("cohort"),
+        F.collect_list(F.struct("word", "mask")).alias("words"),  # one per five years of the calendar
+    ).where("cohort >= 0")
+
+    def month(number: Column) -> Column:
+        return F.add_months(first, number).cast("timestamp")
+
+    each = buyers.select("cohort", F.inline("words")).select(
+        "cohort", "word", "mask", F.explode(F.sequence(F.lit(0), F.lit(MASK_MONTHS - 1))).alias("bit")
+    ).where(F.getbit("mask", "bit") == 1)
     return (
-        active.withColumn("cohort_month", first_month)
-        .where(F.col("cohort_month") >= oldest)
-        .groupBy("cohort_month", "activity_month")
+        each.groupBy("cohort", (F.col("word") * MASK_MONTHS + F.col("bit")).alias("active"))
         .agg(F.count("*").alias("active_customers"))
-        .withColumn("months_since_first_purchase", elapsed)
+        .select(
+            month(F.col("cohort")).alias("cohort_month"), month(F.col("active")).alias("activity_month"),
+            "active_customers", ((F.col("active") - F.col("cohort")) % 12).cast("int").alias("months_since_first_purchase"),
+        )
         .orderBy("cohort_month", "activity_month")
     )
 

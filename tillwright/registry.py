@@ -111,12 +111,14 @@ def _quality() -> dict[str, Query]:
             ),
         ])
 
-    def types(t):
+    def types(spark, folder):
         expected = {
             "transaction_id": "bigint", "amount": "decimal",
             "transaction_timestamp": "timestamp", "metadata": "struct",
         }
-        return quality.check_data_types(t["transactions"], "transactions", expected)
+        path = scratch_path(spark, "types")
+        file_sinks.write_parquet_tables({"transactions": fixtures.raw_tables(spark, folder)["transactions"]}, path)
+        return quality.check_stored_types(spark, f"{path}/transactions", "transactions", expected)
 
     def ranges(t):
         return quality.combine([
@@ -144,7 +146,7 @@ def _quality() -> dict[str, Query]:
     return {
         "dq_nulls": over_raw(nulls),
         "dq_duplicates": over_raw(duplicates),
-        "dq_types": over_raw(types),
+        "dq_types": types,
         "dq_ranges": over_raw(ranges),
         "dq_referential": over_raw(referential),
         "dq_orphan_merchants": over_clean(
@@ -225,24 +227,36 @@ def dated_backup(spark: SparkSession, folder: str, table: str = "refunds") -> Da
     return spark.read.parquet(f"{path}/backup_date={AS_OF}/{table}")
 
 
-def load_order(spark: SparkSession, folder: str) -> DataFrame:
-    """The ordered load with a file writer in place of a database; rows per table as loaded."""
+def _loaded(spark: SparkSession, folder: str) -> tuple[str, list[str]]:
+    """The ordered load with a file writer in place of a database: (folder, tables in order)."""
     path = scratch_path(spark, "load")
-    loaded = database.load_tables(
+    return path, database.load_tables(
         fixtures.clean_tables(spark, folder),
         lambda name, df: df.write.parquet(f"{path}/{name}"),
     )
-    counts = [
-        spark.read.parquet(f"{path}/{name}").agg(
+
+
+def load_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table as loaded, and the columns it was loaded with."""
+    path, loaded = _loaded(spark, folder)
+    counts = []
+    for place, name in enumerate(loaded, 1):
+        rows = spark.read.parquet(f"{path}/{name}")
+        counts.append(rows.agg(
             F.lit(name).alias("table_name"),
             F.lit(place).cast("bigint").alias("position"),
             F.count("*").alias("row_count"),
-        )
-        for place, name in enumerate(loaded, 1)
-    ]
+            F.lit(",".join(sorted(rows.columns))).alias("columns"),
+        ))
     return quality.combine(counts)
 
 
+def load(spark: SparkSession, folder: str, table: str = "transactions") -> DataFrame:
+    """Every value of a table as the ordered load wrote it."""
+    path, _ = _loaded(spark, folder)
+    return spark.read.parquet(f"{path}/{table}")
+
+
 def sql_query_scan(spark: SparkSession, folder: str) -> DataFrame:
     since = AS_OF - timedelta(days=7)
     catalog.publish({"transactions": fixtures.clean_tables(spark, folder, since)["transactions"]})
@@ -404,7 +418,8 @@ def stream_compaction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 FUNCTIONS = (
-    csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, sql_query_scan,
+    csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, load,
+    sql_query_scan,
     gateway_literals, table_views, decode_transactions, stream_dedup, stream_fraud_alerts,
     stream_alert_lookup, stream_publish, stream_probe, stream_ingest, stream_quarantine,
     stream_compaction,
@@ -415,7 +430,8 @@ def queries() -> dict[str, Query]:
     named = {**_cleaners(), **_reports(), **_risk(), **_quality()}
     named |= {function.__name__: function for function in FUNCTIONS}
     # The file queries take one table at a time; the plain names stand for their default table.
-    for query, usual in ((csv_scan, "transactions"), (csv_sink, "transactions"), (dated_backup, "refunds")):
+    usual_tables = {csv_scan: "transactions", csv_sink: "transactions", load: "transactions", dated_backup: "refunds"}
+    for query, usual in usual_tables.items():
         others = [table for table in fixtures.RAW_TABLES if table != usual]
         named |= {f"{query.__name__}_{table}": partial(query, table=table) for table in others}
 
