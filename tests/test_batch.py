@@ -115,3 +115,60 @@ def test_shared_folder_of_a_cluster_must_be_configured():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session)
+
+
+def test_counts_taken_while_storing_equal_a_second_look(spark, folder, tmp_path):
+    """The raw tables, which fail some checks; the suite then reads transactions for what rows alone cannot tell."""
+    from tests.compare import plan_text
+    from tillwright.plans import summaries
+
+    tables = fixtures.raw_tables(spark, folder)
+    tallies = quality.row_tallies(tables, AS_OF)
+    found = batch.store_processed(tables, str(tmp_path), tallies)
+    stored = batch.read_processed(spark, str(tmp_path), AS_OF)
+    plain = quality.check(stored, AS_OF)
+    given = quality.check(stored, AS_OF, counts=found.counts)
+    assert sorted(map(tuple, given.collect())) == sorted(map(tuple, plain.collect()))
+    assert sum(sum(counts) for counts in found.counts.values()) > 0
+    assert found.metrics == summaries.run_metrics(stored).first().asDict()
+    assert plan_text(given).count("FileScan parquet") <= plan_text(plain).count("FileScan parquet") - 2
+
+
+def test_a_task_that_is_tried_again_counts_once(tmp_path):
+    """Tasks fail after their last row: for customers the writing task itself, for transactions the one before it."""
+    import subprocess
+    import sys
+    import textwrap
+
+    script = textwrap.dedent("""
+        import sys
+        from pyspark import TaskContext
+        from tillwright.operators import quality
+        from tillwright.plans import batch
+        from tillwright.session import build_session
+
+        spark = build_session("retry", "local[2,2]", spark__ui__enabled="false", spark__sql__shuffle__partitions="3")
+        spark.sparkContext.setLogLevel("OFF")
+
+        def once(batches):
+            yield from batches
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("first attempt, after its last row")
+
+        rows = spark.range(0, 100, 1, 3).selectExpr(
+            "id AS transaction_id", "CAST(id AS DECIMAL(15,2)) AS amount", "'success' AS transaction_status",
+            "TIMESTAMP '2024-01-01' AS transaction_timestamp",
+        )
+        rows = rows.mapInArrow(once, rows.schema)
+        tallies = {"transactions": quality.null_tallies(rows, ["amount"]) + [quality.nonpositive_amount()]}
+        tallies["customers"] = tallies["transactions"]
+        found = batch.store_processed({"transactions": rows, "customers": rows}, sys.argv[1], tallies)
+        print("found", found.counts["transactions"], found.counts["customers"], found.metrics["total_transactions"])
+    """)
+    from pathlib import Path
+
+    done = subprocess.run(
+        [sys.executable, "-c", script, str(tmp_path / "out")], capture_output=True, text=True, timeout=300,
+        cwd=Path(__file__).resolve().parent.parent,
+    )
+    assert "found [0, 1] [0, 1] 100" in done.stdout, done.stderr[-2000:]

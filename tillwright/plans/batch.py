@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators import quality, risk
 from ..operators.cleaning import clean_all
@@ -57,15 +59,54 @@ REPORTS = {
 }
 
 
+METRICS = (
+    "total_transactions", "total_revenue", "avg_transaction_value", "success_rate", "total_refunded",
+)
+
+
 class InvalidData(RuntimeError):
     """The quality gate failed."""
 
 
-def store_processed(cleaned: Tables, folder: str) -> None:
-    """Cleaned tables as Parquet, transactions by month."""
+@dataclass
+class Stored:
+    """What was counted while the tables were stored: row checks by table, and the run's totals."""
+
+    counts: dict[str, list[int]]
+    metrics: dict[str, object]
+
+
+def store_processed(
+    cleaned: Tables, folder: str, tallies: Mapping[str, list[quality.Tally]] | None = None
+) -> Stored:
+    """Cleaned tables as Parquet, transactions by month; `tallies` and the totals are taken in the same pass.
+
+    The counts belong to the tasks that write: they look at rows after the last exchange, and Spark adds up
+    each such task once, however often it was tried.
+    """
+    tallies = tallies or {}
+    seen: dict[str, Observation] = {}
+
+    def watch(name: str, rows: DataFrame) -> DataFrame:
+        columns = [t.bad.alias(f"n{i}") for i, t in enumerate(tallies.get(name, ()))]
+        if name == "transactions":
+            columns += summaries.metric_columns()
+        if not columns:
+            return rows
+        seen[name] = Observation()
+        return rows.observe(seen[name], *columns)
+
     others = {name: table for name, table in cleaned.items() if name != "transactions"}
-    write_parquet_tables(others, folder)
-    write_months(cleaned["transactions"], f"{folder}/transactions", whole_store=True)
+    write_parquet_tables(others, folder, watch)
+    write_months(
+        cleaned["transactions"], f"{folder}/transactions", whole_store=True,
+        watch=lambda rows: watch("transactions", rows),
+    )
+    found = {name: observation.get for name, observation in seen.items()}
+    return Stored(
+        {name: [found[name][f"n{i}"] for i in range(len(tallies[name]))] for name in found if name in tallies},
+        {key: value for key, value in found["transactions"].items() if key in METRICS},
+    )
 
 
 def read_processed(spark: SparkSession, folder: str, as_of: date) -> Tables:
@@ -105,19 +146,25 @@ def run_batch(
     """The whole run from raw CSV files; returns the path of every result.
 
     Cleaned tables are written once and read back: each result then scans only its columns from
-    Parquet, and a lost executor costs a task, not a recomputation from text.
+    Parquet, and a lost executor costs a task, not a recomputation from text. The checks that count
+    rows, and the run's totals, are taken while the tables are written.
     """
     processed = f"{output_folder}/processed"
-    store_processed(clean_all(read_csv_tables(spark, raw_folder)), processed)
+    cleaned = clean_all(read_csv_tables(spark, raw_folder))
+    stored = store_processed(cleaned, processed, quality.row_tallies(cleaned, as_of, suite))
     tables = read_processed(spark, processed, as_of)
 
     paths = {"quality": f"{output_folder}/quality"}
-    quality.check(tables, as_of, suite).write.mode("overwrite").parquet(paths["quality"])
+    quality.check(tables, as_of, suite, stored.counts).write.mode("overwrite").parquet(paths["quality"])
     outcome = quality.verdict(spark.read.parquet(paths["quality"])).first()
     if stop_on_errors and not outcome["is_valid"]:
         raise InvalidData(f"{outcome['total_errors']} checks failed, see {paths['quality']}")
 
-    for name, frame in all_reports(tables, as_of).items():
+    reported = all_reports(tables, as_of)
+    if "run_metrics" in reported:
+        columns = reported["run_metrics"].schema
+        reported["run_metrics"] = spark.createDataFrame([tuple(stored.metrics[c] for c in columns.names)], columns)
+    for name, frame in reported.items():
         paths[name] = f"{output_folder}/reports/{name}"
         frame.write.mode("overwrite").parquet(paths[name])
     if backup:

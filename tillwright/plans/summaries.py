@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -63,16 +63,21 @@ def high_risk_customers(tables: Tables) -> DataFrame:
     )
 
 
-def run_metrics(tables: Tables) -> DataFrame:
-    """One row of totals; empty sums are 0, empty means are null."""
+def metric_columns() -> list[Column]:
+    """Totals over transactions; empty sums are 0, empty means are null."""
     refunded = X.amount_where(X.has_status(rules.REFUNDED))
-    return tables["transactions"].agg(
+    return [
         F.count("*").alias("total_transactions"),
         _zero_if_empty(X.revenue()).alias("total_revenue"),
         X.mean(X.revenue(), X.orders()).alias("avg_transaction_value"),
         X.percent(X.orders(), F.count("*")).alias("success_rate"),
         _zero_if_empty(refunded).alias("total_refunded"),
-    )
+    ]
+
+
+def run_metrics(tables: Tables) -> DataFrame:
+    """One row of totals."""
+    return tables["transactions"].agg(*metric_columns())
 
 
 def summary_report(tables: Tables, generated_at: date | datetime) -> DataFrame:

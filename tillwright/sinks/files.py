@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -28,12 +28,20 @@ def write_csv_tables(tables: Mapping[str, DataFrame], folder: str, processed: bo
         )
 
 
-def write_parquet_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+def write_parquet_tables(
+    tables: Mapping[str, DataFrame], folder: str, watch: Callable[[str, DataFrame], DataFrame] | None = None
+) -> None:
+    """`watch(name, rows)` may look at the rows of a table on their way into the files."""
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        (watch(name, table) if watch else table).write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def write_months(transactions: DataFrame, path: str, whole_store: bool = False) -> None:
+def write_months(
+    transactions: DataFrame,
+    path: str,
+    whole_store: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Transactions in one folder per calendar month.
 
     Months among the rows are replaced, others stay; `whole_store` leaves nothing of what was there.
@@ -43,10 +51,13 @@ def write_months(transactions: DataFrame, path: str, whole_store: bool = False)
     time order inside a file, which lets a date filter skip row groups within a month.
     """
     month = F.trunc("transaction_timestamp", "month")
-    (
+    rows = (
         transactions.withColumn(MONTH, month)
         .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, "transaction_timestamp")
+    )
+    (
+        (watch(rows) if watch else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole_store else "dynamic")
         .partitionBy(MONTH)
