@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -111,3 +111,28 @@ def spread_join(rows: DataFrame, single: DataFrame, keys: list[str], heavy: Data
 def heavy_keys(counts: DataFrame, total: int) -> DataFrame:
     """Of (keys, n_rows) those that hold more than one in `HEAVY` of `total` rows."""
     return counts.where(F.col("n_rows") * HEAVY > total).drop("n_rows")
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, target: str, held_out: Column, rows: int, most_bytes: int
+) -> DataFrame:
+    """(doc_id, text, label): at most `rows` labelled texts of at most `most_bytes` UTF-8 bytes together.
+
+    Labels that are null, have no id or are `held_out` (a condition on doc_id) are left out; of several labels of an id the
+    greatest counts. The ids with the smallest hashes are taken, for each the text with the smallest hash of the rows that
+    have the id, however many those are. Beyond `most_bytes` the longest texts go. Null texts are empty. Both bounds hold
+    before anything reaches the driver.
+    """
+    chosen = pick(labels, "doc_id", target).filter(
+        F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out
+    ).groupBy("doc_id").agg(F.max(target).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), "label"
+    )
+    one_each = texts.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    picked = written(one_each, "labelled")
+    # At most `rows` ids and lengths pass this window.
+    short = picked.select("doc_id", F.octet_length("text").alias("n")).select(
+        "doc_id", F.sum("n").over(Window.orderBy("n", "doc_id")).alias("so_far")
+    ).where(F.col("so_far") <= most_bytes).select("doc_id")
+    return picked.join(F.broadcast(short), "doc_id")

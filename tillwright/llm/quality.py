@@ -222,17 +222,18 @@ def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 3
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, train_rows: int = 4000, epochs: int = 8,
+    docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, train_rows: int = 4000,
+    train_bytes: int = 64 << 20, epochs: int = 8,
 ) -> Network:
-    """A network trained on at most `train_rows` labelled texts outside the held-out fold."""
-    chosen = common.pick(labels, "doc_id", "quality").filter(
-        F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold)
-    ).groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    sample = common.pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        F.col("doc_id").cast("long").alias("doc_id"), common.whole_text().cast("binary").alias("text"),
-        F.col("quality").cast("int").alias("quality"),
-    ).toArrow().sort_by([("doc_id", "ascending")])
-    return fit(sample["text"].to_pylist(), sample["quality"].to_numpy().astype(float), epochs)
+    """A network trained on at most `train_rows` labelled texts of `train_bytes` together, outside the held-out fold.
+
+    `common.labelled_sample` says which; an id on many rows, or with many labels, is one text. Texts are trained on
+    whole, null ones as empty. Without labels the network is as it begins.
+    """
+    sample = common.labelled_sample(
+        docs, labels, "quality", held_out(F.col("doc_id"), folds, fold), train_rows, train_bytes
+    ).select("doc_id", F.col("text").cast("binary").alias("text"), "label").toArrow().sort_by([("doc_id", "ascending")])
+    return fit(sample["text"].to_pylist(), sample["label"].to_numpy().astype(float), epochs)
 
 
 def score(docs: DataFrame, net: Network, folds: int = 4, fold: int = 2, threshold: float = 0.7) -> DataFrame:

@@ -165,16 +165,16 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, train_rows: int = 4000,
-    counterfactual: float = 1.0, groups=GROUPS,
+    train_bytes: int = 64 << 20, counterfactual: float = 1.0, groups=GROUPS,
 ) -> Model:
-    """A model fitted on at most `train_rows` labelled texts outside the held-out fold."""
-    spark = docs.sparkSession
-    chosen = common.pick(labels, "doc_id", "toxic").filter(
-        F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold)
-    ).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    texts = common.pick(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic")
-    )
+    """A model fitted on at most `train_rows` labelled texts of `train_bytes` together, outside the held-out fold.
+
+    `common.labelled_sample` says which; an id on many rows, or with many labels, is one text. Only features reach the
+    driver. Null and empty texts have none. Without labels the model scores every text the same.
+    """
+    texts = common.labelled_sample(
+        docs, labels, "toxic", held_out(F.col("doc_id"), folds, fold), train_rows, train_bytes
+    ).withColumnRenamed("label", "toxic")
     schema = "doc_id BIGINT, own ARRAY<INT>, swapped ARRAY<ARRAY<ARRAY<INT>>>, toxic INT"
     out = pa.schema([
         ("doc_id", pa.int64()), ("own", pa.list_(pa.int32())),
