@@ -641,7 +641,13 @@ STREAM = {
         FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1""",
 }
 
-STATEMENTS = {**CLEANED, **REPORTS, **INSIGHTS, **RISK, **QUALITY, **SOURCES, **STREAM}
+# Views and metrics from day sums kept by month are the ones over all transactions.
+KEPT = {
+    f"kept_{name}": REPORTS[name]
+    for name in ("daily_transaction_summary", "run_metrics", "summary_report", "weekly_report", "weekly_report_totals")
+}
+
+STATEMENTS = {**CLEANED, **REPORTS, **INSIGHTS, **RISK, **QUALITY, **SOURCES, **STREAM, **KEPT}
 
 
 def all_statements() -> dict[str, str]:

@@ -82,7 +82,10 @@ def run_metrics(tables: Tables) -> DataFrame:
 
 def summary_report(tables: Tables, generated_at: date | datetime) -> DataFrame:
     """The metrics as display text."""
-    metrics = run_metrics(tables)
+    return as_text(run_metrics(tables), generated_at)
+
+
+def as_text(metrics: DataFrame, generated_at: date | datetime) -> DataFrame:
     rounded = F.format_string
     return metrics.select(
         F.date_format(X.instant(generated_at), "yyyy-MM-dd HH:mm:ss").alias("report_date"),
@@ -111,7 +114,10 @@ def weekly_report(tables: Tables, as_of: date, days: int = 7) -> DataFrame:
 
 
 def weekly_report_totals(tables: Tables, as_of: date, days: int = 7) -> DataFrame:
-    daily = weekly_report(tables, as_of, days)
+    return totals_of_days(weekly_report(tables, as_of, days))
+
+
+def totals_of_days(daily: DataFrame) -> DataFrame:
     transactions = F.col("total_transactions")
     return daily.agg(
         _zero_if_empty(F.sum("revenue")).alias("total_revenue"),

@@ -13,7 +13,7 @@ from pyspark.sql.types import DecimalType, IntegerType, TimestampType
 
 from . import fixtures
 from .operators import cleaning, keys, quality, risk
-from .plans import batch, reports
+from .plans import batch, partials, reports
 from .session import apply_settings, scratch_path
 from .sinks import database, files as file_sinks
 from .sources import catalog, files as file_sources
@@ -213,6 +213,23 @@ def _stored_months(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def kept_sums(report: str) -> Query:
+    """A view from day sums kept by month: of a store with too few rows in late months, then of the corrected one."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rows = fixtures.clean_tables(spark, folder)["transactions"]
+        store, sums = scratch_path(spark, "months"), scratch_path(spark, "sums")
+        late = F.col("transaction_timestamp") >= F.lit("2024-01-01").cast("timestamp")
+        file_sinks.write_months(rows.where(~late | (F.col("transaction_status") == "failed")), store)
+        partials.refresh(spark, store, sums)
+        file_sinks.write_months(rows.where(late), store)
+        partials.refresh(spark, store, sums)
+        week = partials.read_sums(spark, store, sums, AS_OF - timedelta(days=7))
+        return partials.all_reports(partials.read_sums(spark, store, sums), week, AS_OF)[report]
+
+    return run
+
+
 def monthly_partitioned_sink(spark: SparkSession, folder: str) -> DataFrame:
     return file_sources.read_months(spark, _stored_months(spark, folder), since=date(2024, 1, 10))
 
@@ -417,6 +434,8 @@ def stream_compaction(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+KEPT_REPORTS = ("daily_transaction_summary", "run_metrics", "summary_report", "weekly_report", "weekly_report_totals")
+
 FUNCTIONS = (
     csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, load,
     sql_query_scan,
@@ -429,6 +448,7 @@ FUNCTIONS = (
 def queries() -> dict[str, Query]:
     named = {**_cleaners(), **_reports(), **_risk(), **_quality()}
     named |= {function.__name__: function for function in FUNCTIONS}
+    named |= {f"kept_{report}": kept_sums(report) for report in KEPT_REPORTS}
     # The file queries take one table at a time; the plain names stand for their default table.
     usual_tables = {csv_scan: "transactions", csv_sink: "transactions", load: "transactions", dated_backup: "refunds"}
     for query, usual in usual_tables.items():
