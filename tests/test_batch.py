@@ -172,3 +172,19 @@ def test_a_task_that_is_tried_again_counts_once(tmp_path):
         cwd=Path(__file__).resolve().parent.parent,
     )
     assert "found [0, 1] [0, 1] 100" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_run_may_set_unreadable_rows_apart(spark, raw_folder, tmp_path, monkeypatch):
+    import shutil
+
+    monkeypatch.setattr(batch, "all_reports", lambda tables, as_of: {})
+    raw = shutil.copytree(raw_folder, tmp_path / "raw")
+    header = spark.read.option("header", True).csv(f"{raw}/customers.csv").columns
+    (raw / "customers.csv" / "late.csv").write_text(
+        ",".join(header) + "\n" + "\n".join([",".join(["unknown"] * len(header)), "1,2"]) + "\n"
+    )
+    paths = batch.run_batch(spark, str(raw), str(tmp_path / "out"), AS_OF, stop_on_errors=False, quarantine=True)
+    apart = spark.read.parquet(paths["quarantine"])
+    assert [(r.table_name, r.file.rsplit("/", 1)[1]) for r in apart.collect()] == [("customers", "late.csv")] * 2
+    stored = spark.read.parquet(str(tmp_path / "out/processed/customers"))
+    assert stored.count() == spark.read.option("header", True).csv(f"{raw_folder}/customers.csv").count()

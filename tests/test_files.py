@@ -142,3 +142,38 @@ def test_months_are_replaced_one_by_one(spark, tmp_path):
     assert sorted(r["amount"] for r in sources.read_months(spark, path).collect()) == [1, 1, 3]
     sinks.write_months(month(4, "2026-03-01"), path, whole_store=True)
     assert [r["amount"] for r in sources.read_months(spark, path).collect()] == [4]
+
+
+REFUNDS = "refund_id,transaction_id,refund_amount,refund_reason,refund_status"
+
+
+def _refunds(tmp_path, lines, header=REFUNDS):
+    (tmp_path / "refunds.csv").mkdir()
+    (tmp_path / "refunds.csv" / "part.csv").write_text("\n".join([header, *lines]) + "\n")
+    return f"{tmp_path}/refunds.csv"
+
+
+def test_unreadable_rows_are_set_apart_and_the_others_load(spark, tmp_path):
+    wrong = ["2,11,ten,late,done", "3,11,1.00,late,done,more", "x,11,1.00,late,done", "5,11"]
+    right = ["1,10,5.25,broken,done", '4,,,"a, ""b""",', "6,12,7.00, blank ,done"]
+    path = _refunds(tmp_path, [right[0], *wrong, *right[1:]])
+    good, bad = sources.read_csv_apart(spark, path, "refunds")
+    assert sorted(r.refund_id for r in good.collect()) == [1, 4, 6]
+    assert sorted(r.line for r in bad.collect()) == sorted(wrong)
+    assert {r.table_name for r in bad.collect()} == {"refunds"} and bad.first().file.endswith("part.csv")
+    # What is asked for does not change which rows count.
+    assert good.count() == 3 and bad.count() == 4
+    assert sorted(r[0] for r in good.select("refund_reason").collect()) == [" blank ", 'a, "b"', "broken"]
+    assert good.schema == sources.read_csv(spark, path, "refunds").schema
+
+
+def test_a_table_without_bad_rows_or_without_rows(spark, tmp_path):
+    good, bad = sources.read_csv_apart(spark, _refunds(tmp_path, []), "refunds")
+    assert good.collect() == bad.collect() == []
+
+
+def test_a_column_may_have_the_name_of_the_line(spark, tmp_path):
+    path = _refunds(tmp_path, ["1,a", "x,b"], "refund_id,_line")
+    good, bad = sources.read_csv_apart(spark, path, "refunds")
+    assert [tuple(r) for r in good.collect()] == [(1, "a")]
+    assert [r.line for r in bad.collect()] == ["x,b"]

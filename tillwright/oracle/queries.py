@@ -561,6 +561,10 @@ def _doubles(source: str, table: str) -> str:
 
 SOURCES = {
     "csv_scan": f"SELECT {TRANSACTION_ROW} FROM transactions_raw",
+    "csv_quarantine": """
+        SELECT transaction_id, CAST(amount AS DOUBLE) AS amount, false AS is_unreadable FROM transactions_raw
+        UNION ALL
+        SELECT transaction_id, NULL, true FROM transactions_raw WHERE transaction_status = 'failed'""",
     "csv_sink": f"""
         SELECT {TRANSACTION_ROW}, transaction_hour, transaction_day_of_week, transaction_month,
                processing_time_seconds FROM transactions""",

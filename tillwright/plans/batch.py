@@ -13,7 +13,7 @@ from ..operators.cleaning import clean_all
 from ..schemas import MONTH
 from ..sinks.files import write_backup, write_months, write_parquet_tables
 from ..sources.catalog import payment_gateways
-from ..sources.files import read_csv_tables, read_parquet_tables
+from ..sources.files import read_csv_tables, read_csv_tables_apart, read_parquet_tables
 from . import insights, profiles, reports, summaries
 from .common import Tables
 
@@ -142,19 +142,29 @@ def run_batch(
     suite: quality.Suite = quality.Suite(),
     stop_on_errors: bool = True,
     backup: bool = False,
+    quarantine: bool = False,
 ) -> dict[str, str]:
     """The whole run from raw CSV files; returns the path of every result.
 
     Cleaned tables are written once and read back: each result then scans only its columns from
     Parquet, and a lost executor costs a task, not a recomputation from text. The checks that count
     rows, and the run's totals, are taken while the tables are written.
+
+    With `quarantine` rows that cannot be read are stored apart, by table, and the others are loaded; otherwise a value
+    of a wrong type is read as null.
     """
-    processed = f"{output_folder}/processed"
-    cleaned = clean_all(read_csv_tables(spark, raw_folder))
+    processed, paths = f"{output_folder}/processed", {}
+    if quarantine:
+        raw, unreadable = read_csv_tables_apart(spark, raw_folder)
+        paths["quarantine"] = f"{output_folder}/quarantine"
+        unreadable.write.mode("overwrite").partitionBy("table_name").parquet(paths["quarantine"])
+    else:
+        raw = read_csv_tables(spark, raw_folder)
+    cleaned = clean_all(raw)
     stored = store_processed(cleaned, processed, quality.row_tallies(cleaned, as_of, suite))
     tables = read_processed(spark, processed, as_of)
 
-    paths = {"quality": f"{output_folder}/quality"}
+    paths["quality"] = f"{output_folder}/quality"
     quality.check(tables, as_of, suite, stored.counts).write.mode("overwrite").parquet(paths["quality"])
     outcome = quality.verdict(spark.read.parquet(paths["quality"])).first()
     if stop_on_errors and not outcome["is_valid"]:

@@ -197,6 +197,24 @@ def csv_scan(spark: SparkSession, folder: str, table: str = "transactions") -> D
     return rows.withColumns({name: F.col(name).cast(raw.schema[name].dataType) for name in times})
 
 
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions as CSV, and failed ones again in damaged lines: with a word for the amount, or with a field too many."""
+    path = scratch_path(spark, "damaged")
+    raw = fixtures.raw_tables(spark, folder)["transactions"]
+    file_sinks.write_csv_tables({"transactions": raw}, path, processed=False)
+    amount = F.when(F.col("transaction_id") % 2 == 0, "unknown").otherwise(F.concat(F.col("amount").cast("string"), F.lit(",1")))
+    # Written without quotes, so that the comma in the amount begins another field.
+    raw.where("transaction_status = 'failed'").withColumns({
+        "amount": amount, "metadata": F.lit(None).cast("string"), "transaction_uuid": F.lit("again"),
+    }).select(*raw.columns).write.mode("append").options(header=True, quote="").csv(f"{path}/transactions.csv")
+    good, bad = file_sources.read_csv_apart(spark, f"{path}/transactions.csv", "transactions")
+    # The id is the first field of the line as it stands.
+    first = F.split_part("line", F.lit(","), F.lit(raw.columns.index("transaction_id") + 1))
+    return good.select("transaction_id", "amount", F.lit(False).alias("is_unreadable")).unionAll(
+        bad.select(first.cast("bigint"), F.lit(None).cast("decimal(15,2)"), F.lit(True))
+    )
+
+
 def csv_sink(spark: SparkSession, folder: str, table: str = "transactions") -> DataFrame:
     path = scratch_path(spark, "processed")
     file_sinks.write_csv_tables({table: fixtures.clean_tables(spark, folder)[table]}, path)
@@ -437,7 +455,7 @@ def stream_compaction(spark: SparkSession, folder: str) -> DataFrame:
 KEPT_REPORTS = ("daily_transaction_summary", "run_metrics", "summary_report", "weekly_report", "weekly_report_totals")
 
 FUNCTIONS = (
-    csv_scan, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, load,
+    csv_scan, csv_quarantine, csv_sink, monthly_partitioned_sink, monthly_store, dated_backup, load_order, load,
     sql_query_scan,
     gateway_literals, table_views, decode_transactions, stream_dedup, stream_fraud_alerts,
     stream_alert_lookup, stream_publish, stream_probe, stream_ingest, stream_quarantine,
