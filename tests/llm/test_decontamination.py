@@ -87,3 +87,43 @@ def test_empty_tables(spark, docs):
     assert dec.find_overlaps(docs([]), one).collect() == []
     assert dec.decontaminate(docs([(1, "a b c")]), none).count() == 1
     assert dec.decontaminate(docs([]), one).count() == 0
+
+
+def test_repeated_words_in_item_and_text():
+    import time
+    import tracemalloc
+
+    items = [(1, ["so"] * 60), (2, ["so", "on"] * 30), (3, ["other"] * 5 + ["so"] * 20)]
+    block = dec.Block(items, 20, 0.8)
+    tracemalloc.start()
+    began = time.time()
+    found = block.overlaps("so " * 400_000)
+    took, peak = time.time() - began, tracemalloc.get_traced_memory()[1]
+    assert found[0] == (0, 60, 60, 60)
+    assert set(found) == {0, 2} and found[2][2] == 20
+    assert took < 20 and peak < 200 << 20, (took, peak)
+    print("seconds and MB", took, peak / 2**20)
+    assert block.overlaps("so on " * 20_000)[1] == (0, 60, 60, 60)
+
+
+def test_best_stretch_against_every_diagonal(monkeypatch):
+    """Small alphabets, so that hits repeat; the seeds of a 20-word item find all tolerated overlaps."""
+    monkeypatch.setattr(dec, "HITS", 7)
+    monkeypatch.setattr(dec, "CELLS", 50)
+    dice = random.Random(3)
+    for _ in range(150):
+        letters = "ab" if dice.random() < 0.5 else "abcdef"
+        items = [(i, [dice.choice(letters) for _ in range(dice.randint(1, 30))]) for i in range(3)]
+        text = [dice.choice(letters + "z") for _ in range(dice.randint(0, 60))]
+        found = dec.Block(items, 20, 0.8).overlaps(" ".join(text))
+        for row, (_, item) in enumerate(items):
+            size, best = min(20, len(item)), None
+            for shift in range(-len(item) + 1, len(text)):
+                equal = [0 <= shift + q < len(text) and text[shift + q] == w for q, w in enumerate(item)]
+                good = [q for q in range(len(item) - size + 1) if sum(equal[q:q + size]) >= dec.needed(size, 0.8)]
+                if good:
+                    a, b = max(0, -shift, good[0]), min(len(item), len(text) - shift, good[-1] + size)
+                    one = (shift + a, shift + b, sum(equal[a:b]), b - a)
+                    if best is None or (-one[2], one[0]) < (-best[2], best[0]):
+                        best = one
+            assert found.get(row) == best, (item, text)

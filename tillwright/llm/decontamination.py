@@ -31,6 +31,12 @@ MASKS = ("1111011", "1110100011", "1110111")
 WORD = re.compile(r"\w+")
 FOUND = "doc_id BIGINT, item_id BIGINT, start BIGINT, stop BIGINT, matched BIGINT, compared BIGINT, overlap DOUBLE"
 
+#: Seed hits formed at once, and words compared at once.
+HITS = 1 << 18
+CELLS = 1 << 20
+#: Bits of a position beside the item's row.
+ROOM = 36
+
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
@@ -86,48 +92,85 @@ class Block:
             hashes = np.concatenate([h for h, _ in parts])
             rows = np.concatenate([np.full(len(h), row) for h, row in parts])
             places = np.concatenate([np.arange(len(h)) for h, _ in parts])
-            order = np.argsort(hashes, kind="stable")
-            hashes, rows, places = hashes[order], rows[order], places[order]
+            # A place whose neighbour before it has the same hash comes after those without, hash by hash.
+            inner = np.zeros(len(hashes), bool)
+            inner[1:] = (hashes[1:] == hashes[:-1]) & (rows[1:] == rows[:-1])
+            order = np.lexsort((inner, hashes))
+            hashes, rows, places, inner = hashes[order], rows[order], places[order], inner[order]
             seen = np.zeros(1 << 22, bool)
             seen[hashes >> np.uint64(42)] = True
-            self.seeds[mask] = hashes, rows, places, seen
+            self.seeds[mask] = hashes, rows, places, np.concatenate([[0], np.cumsum(~inner)]), seen
+
+    def diagonals(self, ids: np.ndarray) -> np.ndarray:
+        """Packed (item row, document position that faces the item's first word) of all seed hits, in order, each once.
 
-    def shifts(self, ids: np.ndarray) -> set[tuple[int, int]]:
-        """(item row, document position that faces the item's first word) of every seed hit."""
-        found = set()
-        for mask, (hashes, rows, places, seen) in self.seeds.items():
+        A hit whose neighbour before it, in text and item, is one as well is on the same diagonal. Such hits inside a
+        repeated word are not formed; others are formed `HITS` at a time (or those of one position) and united.
+        """
+        found = np.zeros(0, np.int64)
+        for mask, (hashes, rows, places, first_ones, seen) in self.seeds.items():
             own = masked_hashes(ids, mask)
             at = np.flatnonzero(seen[own >> np.uint64(42)])
             if not len(at):
                 continue
-            low = np.searchsorted(hashes, own[at], "left")
-            counts = np.searchsorted(hashes, own[at], "right") - low
-            hit = np.repeat(at, counts)
-            first = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-            found.update(zip(rows[first].tolist(), (hit - places[first]).tolist()))
+            repeats = (at > 0) & (own[at] == own[at - 1])
+            low, high = np.searchsorted(hashes, own[at], "left"), np.searchsorted(hashes, own[at], "right")
+            counts = np.where(repeats, first_ones[high] - first_ones[low], high - low)
+            ends = np.cumsum(counts)
+            start = 0
+            while start < len(at):
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + HITS, "right")))
+                n = counts[start:stop]
+                hit = np.repeat(at[start:stop], n)
+                first = np.repeat(low[start:stop] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                # Positions before the text are negative; half of the room is theirs.
+                packed = (rows[first] << ROOM) + (hit - places[first]) + (1 << ROOM - 1)
+                found = np.union1d(found, packed)
+                start = stop
         return found
 
-    def compare(self, ids: np.ndarray, row: int, shift: int) -> tuple[int, int, int, int] | None:
-        """(start, stop, matched, compared) of the widest tolerated overlap on this diagonal, or None."""
+    def best(self, padded: np.ndarray, row: int, shifts: np.ndarray) -> tuple[int, int, int, int] | None:
+        """(start, stop, matched, compared) of the widest tolerated overlap on the best of these diagonals, or None.
+
+        `padded` is the text with as many unknown words on either side as the item has words.
+        """
         item = self.items[row]
-        size = min(len(item), self.window)
-        equal = np.zeros(len(item), np.int64)
-        a, b = max(0, -shift), min(len(item), len(ids) - shift)
-        equal[a:b] = item[a:b] == ids[shift + a:shift + b]
-        sums = np.concatenate([[0], np.cumsum(equal)])
-        good = np.flatnonzero(sums[size:] - sums[:-size] >= needed(size, self.least))
-        if not len(good):
-            return None
-        start, stop = max(a, int(good[0])), min(b, int(good[-1]) + size)
-        return shift + start, shift + stop, int(sums[stop] - sums[start]), stop - start
+        length, size = len(item), min(len(item), self.window)
+        found = None
+        step = max(1, CELLS // length)
+        for at in range(0, len(shifts), step):
+            some = shifts[at:at + step]
+            equal = padded[(some + length)[:, None] + np.arange(length)] == item
+            sums = np.zeros((len(some), length + 1), np.int32)
+            np.cumsum(equal, axis=1, out=sums[:, 1:])
+            good = sums[:, size:] - sums[:, :-size] >= needed(size, self.least)
+            some, sums, good = (part[good.any(axis=1)] for part in (some, sums, good))
+            if not len(some):
+                continue
+            starts = np.maximum(np.maximum(0, -some), good.argmax(axis=1))
+            ends = good.shape[1] - 1 - good[:, ::-1].argmax(axis=1) + size
+            stops = np.minimum(np.minimum(length, len(padded) - 2 * length - some), ends)
+            each = np.arange(len(some))
+            matched = sums[each, stops] - sums[each, starts]
+            top = np.lexsort((some, some + starts, -matched))[0]
+            one = tuple(int(v) for v in (
+                some[top] + starts[top], some[top] + stops[top], matched[top], stops[top] - starts[top]
+            ))
+            if found is None or (-one[2], one[0]) < (-found[2], found[0]):
+                found = one
+        return found
 
     def overlaps(self, text: str | None) -> dict[int, tuple[int, int, int, int]]:
         """For every item that the text overlaps: the best stretch, most words agreeing, then the first."""
         ids = np.array([self.ids.get(w, 0) for w in words_of(text)], np.uint64)
+        packed = self.diagonals(ids)
+        rows, firsts = np.unique(packed >> ROOM, return_index=True)
         best: dict[int, tuple[int, int, int, int]] = {}
-        for row, shift in sorted(self.shifts(ids)):
-            one = self.compare(ids, row, shift)
-            if one and (row not in best or (-one[2], one[0]) < (-best[row][2], best[row][0])):
+        for row, a, b in zip(rows.tolist(), firsts, [*firsts[1:], len(packed)]):
+            none = np.zeros(len(self.items[row]), np.uint64)
+            shifts = (packed[a:b] & (1 << ROOM) - 1) - (1 << ROOM - 1)
+            one = self.best(np.concatenate([none, ids, none]), row, shifts)
+            if one:
                 best[row] = one
         return best
 
