@@ -40,6 +40,8 @@ def test_empty_table(docs):
 def test_groups_are_balanced_and_complete():
     texts = ["a" * n for n in (5, 5, 50, 1, 1, 1)]
     assert list(tokens.by_size(texts, 10)) == [(0, 2), (2, 3), (3, 6)]
+    # Bytes count, not characters: two, three and four of them a letter.
+    assert list(tokens.by_size(["éé", "日日", "🙂", "ab", "🙂"], 8)) == [(0, 1), (1, 2), (2, 4), (4, 5)]
 
 
 def test_a_cut_inside_an_added_token_is_refused(tmp_path):

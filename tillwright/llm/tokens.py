@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 
 from . import common
 
-#: Texts are cut and encoded in groups of about this many characters.
-BATCH_CHARS = 1_000_000
+#: Texts are cut and encoded in groups of about this many UTF-8 bytes.
+BATCH_BYTES = 1_000_000
 #: Lengths of so many segments are remembered by a worker; beyond that it starts anew.
 REMEMBERED = 600_000
 
@@ -49,14 +49,19 @@ def safe_segments(text: str) -> list[str]:
     return SAFE_CUT.split(text)
 
 
+def utf8_size(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def by_size(texts: list[str], budget: int) -> Iterator[tuple[int, int]]:
-    """Ranges of neighbouring texts that hold about `budget` characters each, one text at least."""
+    """Ranges of neighbouring texts that hold at most `budget` UTF-8 bytes each, or one text."""
     start, size = 0, 0
     for row, text in enumerate(texts):
-        if row > start and size + len(text) > budget:
+        own = utf8_size(text)
+        if row > start and size + own > budget:
             yield start, row
             start, size = row, 0
-        size += len(text)
+        size += own
     if start < len(texts):
         yield start, len(texts)
 
@@ -72,7 +77,7 @@ class LengthCounter:
             encoded = self.tokenizer.encode_batch_fast(segments[a:b], add_special_tokens=False)
             self.known.update(zip(segments[a:b], map(len, encoded)))
 
-    def count(self, texts: list[str], budget: int = BATCH_CHARS) -> list[int]:
+    def count(self, texts: list[str], budget: int = BATCH_BYTES) -> list[int]:
         counts = []
         for a, b in by_size(texts, budget):
             cut = [safe_segments(text) for text in texts[a:b]]
@@ -86,7 +91,7 @@ class LengthCounter:
 
 
 def token_counts(
-    docs: DataFrame, tokenizer_file: str, limit: int = 1024, batch_chars: int = BATCH_CHARS,
+    docs: DataFrame, tokenizer_file: str, limit: int = 1024, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit for every row of `docs`.
 
@@ -104,7 +109,7 @@ def token_counts(
         counter = LengthCounter(load_tokenizer(tokenizer_file))
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            tokens = counter.count(texts, batch_chars)
+            tokens = counter.count(texts, batch_bytes)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("n_bytes"), pa.array(tokens, pa.int64()),
