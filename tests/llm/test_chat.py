@@ -52,3 +52,59 @@ def test_clashing_columns_and_common_first_turn(spark):
 
 def test_empty_table(spark):
     assert chat.format_chats(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_a_very_long_conversation_and_its_snapshots(spark):
+    """100,000 turns under one id, among others prefixes of it; time in proportion to the turns."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    def conv(conv_id, n):
+        turn = F.col("id")
+        return spark.range(n).select(
+            conv_id.alias("conv_id"), turn.alias("turn"),
+            F.when(turn % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), turn).alias("text"),
+        )
+
+    def took(n):
+        began = time.time()
+        df = conv(F.lit(1).cast("bigint"), n).unionAll(conv(F.lit(2).cast("bigint"), n - 1)).unionAll(
+            conv(F.lit(None).cast("bigint"), n)).unionAll(conv(F.lit(3).cast("bigint"), n // 2).withColumn("role", F.lit("user")))
+        rows = {r.conv_id: (r.n_turns, r.snapshots, len(r.turns)) for r in chat.maximal_conversations(df).collect()}
+        assert rows == {1: (n, 2, n), 3: (n // 2, 1, n // 2)}
+        return time.time() - began
+
+    took(1_000)
+    small, large = took(10_000), took(100_000)
+    print("seconds", small, large)
+    assert large < 10 * small
+
+
+def test_conversations_over_several_ranges(spark):
+    """Random logs over few words, dealt over more ranges than rows."""
+    import random
+
+    dice = random.Random(5)
+    rows = []
+    for c in [None, *range(40)]:
+        n = dice.randint(1, 12)
+        rows += [(c, t, dice.choice(["user", None]), dice.choice(["a", "b"])) for t in range(n)]
+        if c is not None:
+            rows += [(100 + c, t, r, x) for k, t, r, x in rows if k == c and t < dice.randint(1, 12)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert rows_of(chat.format_chats(spark.createDataFrame(rows, TURNS))) == plain(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_turns_stay_rows_until_rendered(spark):
+    from tests.compare import plan_text
+
+    ordered = chat.ordered_turns(spark.createDataFrame(ROWS, TURNS))
+    plan = plan_text(chat.kept_conversations(chat.prefix_sums(ordered)))
+    assert "collect_" not in plan and "text#" not in plan and "LeftAnti" in plan
