@@ -72,3 +72,38 @@ def test_a_hot_text_meets_few_rows_per_merge(docs):
     first, merged = exact.merge_runs(entries, 64, 8)
     assert first.groupBy("text_sha256").count().agg({"count": "max"}).first()[0] <= 64
     assert merged.filter("group_size = 3000").select("keep_id").collect()[0][0] == 0
+
+
+def test_runs_are_merged_in_sorted_order_and_verified(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from tests.compare import plan_text
+
+    schema = "doc_id BIGINT, row BIGINT, run INT, text_sha256 STRING, proof STRING"
+    good = spark.createDataFrame([(i, i, i % 4, f"{i % 3}", "p") for i in range(40)], schema)
+    _, merged = exact.merge_runs(good, 4, 2)
+    assert sorted((r.text_sha256, r.keep_id, r.group_size) for r in merged.collect()) == [("0", 0, 14), ("1", 1, 13), ("2", 2, 13)]
+    plan = plan_text(merged)
+    assert "HashAggregate" not in plan and plan.count("SortAggregate") >= 6 and "Python" not in plan
+    bad = good.unionAll(spark.createDataFrame([(99, 99, 3, "1", "q")], schema))
+    with pytest.raises(PySparkException, match="one SHA-256, different texts"):
+        exact.merge_runs(bad, 4, 2)[1].collect()
+
+
+def test_a_third_of_the_rows_with_null_or_repeated_ids_and_one_text(spark):
+    from pyspark.sql import functions as F
+
+    n = 30_000
+    third = F.col("id") % 3
+    docs = spark.range(n).select(
+        F.when(third == 0, None).when(third == 1, -5).otherwise(F.col("id")).alias("doc_id"),
+        F.when(third < 2, "the same").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"),
+    )
+    entries = exact.digests(docs, 64).where("text_sha256 = sha2('the same', 256)")
+    most = entries.groupBy("run").count().agg(F.max("count")).first()[0]
+    assert most < 2 * (2 * n // 3) / 64  # spread over all runs, null ids and the repeated one alike
+    found = exact.exact_groups(docs).where("group_size > 1")
+    one = found.agg(F.count("*"), F.count_if("kept"), F.min("keep_id"), F.max("keep_id"), F.max("group_size")).first()
+    assert tuple(one) == (2 * n // 3, 1, -5, -5, 2 * n // 3)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
