@@ -221,3 +221,32 @@ def test_a_running_stream_keeps_its_folders_few(stream):
     assert len(amounts(stream.store)) == 19
     assert max(len(batches) for batches in stream.store.folders("transactions").values()) <= 3
     assert datetime(2024, 5, 2) < NOW
+
+
+def test_a_large_merged_day_is_not_merged_again_for_a_few_rows(spark, tmp_path):
+    store = ingest.FileStore(spark, str(tmp_path / "store"))
+
+    def put(number, n):
+        texts = batch_of(spark, *[message(f"{number}-{i}" * 9, i, "2024-05-01T00:00:00") for i in range(n)])
+        rows = ingest.M.decode(ingest.M.parse(texts), NOW).withColumn(ingest.DAY, ingest.F.to_date("transaction_timestamp"))
+        store.write(rows, "transactions", number, (ingest.DAY,))
+
+    def merged():
+        pattern = store.path("merged/transactions/transaction_date=2024-05-01/upto=*")
+        return {int(path.rsplit("=", 1)[1]): folders.matching(spark, f"{path}/part-*") for path in folders.matching(spark, pattern)}
+
+    put(0, 3000)
+    store.compact(1, LATER, least=1)
+    large = merged()
+    put(1, 2)
+    store.compact(2, LATER, least=1)
+    assert sorted(large) == [0] and sorted(merged()) == [0, 1] and merged()[0] == large[0]
+    # Layers of like size become one; the large one still stays.
+    put(2, 2)
+    store.compact(3, LATER, least=1)
+    assert sorted(merged()) == [0, 2] and merged()[0] == large[0]
+    # Batches of either layer are replayed; they change nothing.
+    put(0, 3000)
+    put(1, 2)
+    found = amounts(store)
+    assert len(found) == len(set(found)) == 3004 and store.folders("transactions") == {}
