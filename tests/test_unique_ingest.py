@@ -250,3 +250,16 @@ def test_a_large_merged_day_is_not_merged_again_for_a_few_rows(spark, tmp_path):
     put(1, 2)
     found = amounts(store)
     assert len(found) == len(set(found)) == 3004 and store.folders("transactions") == {}
+
+
+def test_the_inbox_has_files_by_size(spark, folder, tmp_path, monkeypatch):
+    """Many tasks with few rows each make no files, and no micro-batches, of their own."""
+    from tillwright import registry
+
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: str(tmp_path / name))
+    for made in ("_to_send", "_redelivered", "_incomplete"):
+        make = getattr(registry, made)
+        monkeypatch.setattr(registry, made, lambda spark, folder, make=make: make(spark, folder).repartition(20))
+    store = registry._ingested(spark, folder)
+    assert store.read("transactions").count() > 0
+    assert len(list((tmp_path / "stream" / "inbox").glob("part-*"))) <= 6
