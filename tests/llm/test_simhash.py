@@ -73,6 +73,19 @@ def test_links_give_all_components(spark, distance, segments, crowd):
             assert (root[i] == root[j]) == (expected[i] == expected[j])
 
 
+def test_tables_with_many_rows_per_fingerprint_are_not_sent_through_the_driver(spark, tmp_path):
+    # Read from a small file, all of them look small enough to broadcast, however many rows they become.
+    spark.range(500).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/prints")
+    prints = spark.read.parquet(f"{tmp_path}/prints")
+    joined = {
+        "shared keys": simhash.shared_keys(prints, 7, 4), "links": simhash.near_links(prints, 4, 7, 1000),
+        "midpoints": simhash.midpoint_links(prints, 4),
+    }
+    for name, table in joined.items():
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan, name
+
+
 def test_patterns_are_the_sets_that_may_agree():
     from math import comb
 

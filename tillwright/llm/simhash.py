@@ -151,18 +151,23 @@ def midpoint_links(prints: DataFrame, distance: int) -> DataFrame:
         "fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("_mask")
     ).select("fp", F.col("fp").bitwiseXOR(F.col("_mask")).alias("word"), (F.bit_count("_mask") <= near).alias("close"))
     least = listed.filter("close").groupBy("word").agg(F.min("fp").alias("v"))
-    return listed.join(least, "word").filter("fp <> v").select(F.col("fp").alias("u"), "v")
+    return listed.join(least.hint("merge"), "word").filter("fp <> v").select(F.col("fp").alias("u"), "v")
 
 
-def near_links(prints: DataFrame, distance: int, segments: int, crowd: int) -> DataFrame:
-    """(u, v) between distinct fingerprints such that chains of links are those of all pairs within `distance`."""
+def shared_keys(prints: DataFrame, segments: int, distance: int) -> DataFrame:
+    """(part, key, fp, n): the keys that several fingerprints have; `n` is how many."""
     keyed = _keyed(prints, segments, distance)
     sizes = keyed.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = common.written(keyed.join(sizes, ["part", "key"]), "shared-keys")
+    return keyed.join(sizes.hint("merge"), ["part", "key"])
+
+
+def near_links(prints: DataFrame, distance: int, segments: int, crowd: int) -> DataFrame:
+    """(u, v) between distinct fingerprints such that chains of links are those of all pairs within `distance`."""
+    shared = common.written(shared_keys(prints, segments, distance), "shared-keys")
     few = shared.filter(F.col("n") <= crowd)
     differing = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
     pairs = few.alias("a").join(
-        few.alias("b"),
+        few.hint("merge").alias("b"),
         (F.col("a.part") == F.col("b.part")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") < F.col("b.fp"))
         & (_first_pattern(differing, segments, distance) == F.col("a.part"))
         & chained(differing, segments, distance) & (F.bit_count(differing) <= distance),
