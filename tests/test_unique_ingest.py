@@ -263,3 +263,32 @@ def test_the_inbox_has_files_by_size(spark, folder, tmp_path, monkeypatch):
     store = registry._ingested(spark, folder)
     assert store.read("transactions").count() > 0
     assert len(list((tmp_path / "stream" / "inbox").glob("part-*"))) <= 6
+
+
+def test_a_micro_batch_has_one_file_per_day_however_many_tasks_write_it(stream, spark):
+    """A stream plans without AQE, and without it the rebalancing of what a micro-batch stores would be left out."""
+    day = "2024-05-{:02d}T00:00:00".format
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        stream(("0", [message(f"{n}", at=day(1 + n % 2)) for n in range(100)]), ("1", [message(f"x{n}", at=day(1)) for n in range(100)]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(amounts(stream.store)) == 200
+    for batches in stream.store.folders("transactions").values():
+        for path in batches.values():
+            assert len(folders.matching(spark, f"{path}/part-*")) == 1
+
+
+def test_a_stream_s_session_is_left_as_it_was(spark):
+    conf = spark.conf
+    before = conf.get(ingest.ADAPTIVE)
+    try:
+        for kept in ("false", "true"):
+            conf.set(ingest.ADAPTIVE, kept)
+            with pytest.raises(ValueError), ingest.adaptive(spark.range(1)):
+                assert conf.get(ingest.ADAPTIVE) == "true"
+                raise ValueError
+            assert conf.get(ingest.ADAPTIVE) == kept
+    finally:
+        conf.set(ingest.ADAPTIVE, before)
