@@ -292,3 +292,20 @@ def test_a_stream_s_session_is_left_as_it_was(spark):
             assert conf.get(ingest.ADAPTIVE) == kept
     finally:
         conf.set(ingest.ADAPTIVE, before)
+
+
+def test_the_inbox_has_no_more_files_for_more_cores(spark, tmp_path, monkeypatch):
+    """A few megabytes are one file of each kind, though Spark would rather make one for every core."""
+    from tillwright import registry
+
+    F = ingest.F
+    texts = spark.range(40_000).select(F.concat_ws(" ", *[F.sha2(F.concat("id", F.lit(f"-{i}")), 256) for i in range(4)]).alias("value"))
+    monkeypatch.setattr(registry, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(registry, "_to_send", lambda spark, folder: texts)
+    monkeypatch.setattr(registry, "_redelivered", lambda spark, folder: texts.limit(0))
+    monkeypatch.setattr(registry, "_incomplete", lambda spark, folder: texts.limit(0))
+    monkeypatch.setattr(registry.messages, "encode", lambda rows: rows)
+    store = registry._ingested(spark, "")
+    assert store.read("quarantine").count() == 40_000
+    assert sum(f.stat().st_size > 0 for f in (tmp_path / "stream" / "inbox").glob("part-*")) == 1
+    assert spark.conf.get(registry.BY_CORES) == "true"
