@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from tests.compare import connect, difference
-from tillwright.llm import decontamination, exact, queries, simhash, toxicity
+from tillwright.llm import common, decontamination, exact, queries, simhash, toxicity
 from tillwright.llm.common import read_table, written
 
 QUERIES = queries.queries()
@@ -27,6 +27,20 @@ def test_one_row_per_document(spark, folder, name):
     assert sorted(found) == sorted(r.doc_id for r in read_table(spark, folder, "documents").collect())
 
 
+def test_pipeline_sends_no_keys_of_fingerprints_through_the_driver(spark, docs, monkeypatch):
+    """A fingerprint has 35 keys, but Spark sizes their table as that of the fingerprints."""
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(common, "written", noted)
+    rows = [(i, f"some words of text number {i // 2} and more of them") for i in range(40)]
+    assert corpus_pipeline.drop_near_copies(spark, docs(rows), "").count() <= 20
+    assert "SortMergeJoin" in plans["shared-keys"] and "BroadcastExchange" not in plans["shared-keys"]
+
+
 def test_pipeline_against_its_operators_rules(spark, folder):
     from tests.llm.test_decontamination import plain as leaks
     from tests.llm.test_simhash import plain_components, plain_print
